@@ -1,7 +1,7 @@
 """Chat formatting: transcripts parsed by a hidden Markov model over speaker-marker and line features.
 
 The states are the roles. A line emits its speaker marker, its length and its ending; a role changes by one table where
-a row of the transcript begins and by another inside a row, where a change is rare and follows a marker. The tables are
+a row of the transcript begins, freely at a marker inside a row, and hardly ever at another line. The tables are
 counts over all rows with a known role, plus prior counts that make a marker speak for its role. Viterbi recovers the role
 of each line without looking at the role column; runs of lines of one role become turns in one canonical form.
 
@@ -39,7 +39,9 @@ _MARKER = re.compile(r"\s*(?:#{1,6}\s*|<\|?|\*\*|\[)?(?:" + "|".join(f"(?P<{r}>{
 LENGTHS = [0, 20, 40, 80, 160, 320, 640, 1280]
 ENDINGS = ["?", ".!", ":,;"]
 #: Prior counts: of a marker for its own role and for others; of staying and changing inside a row; of all else.
-OWN, OTHER, STAY, CHANGE, ELSE = 50.0, 0.05, 1000.0, 1.0, 1.0
+OWN, OTHER, STAY, CHANGE, ELSE = 50.0, 0.001, 1000.0, 1.0, 1.0
+#: How a line follows the one before: a row begins, no marker, a marker inside a row.
+BEGINS, GOES_ON, MARKED = 0, 1, 2
 K = len(ROLES)
 SIZES = (K + 1, len(LENGTHS), len(ENDINGS) + 2)
 
@@ -66,7 +68,8 @@ class ChatModel:
     def __init__(self, first, start, features):
         log = lambda x: np.log(x / x.sum(axis=-1, keepdims=True))
         self.first, self.start = log(first + ELSE), log(start + ELSE)
-        self.inside = log(np.full((K, K), CHANGE) + np.eye(K) * STAY)
+        # inside a row a role goes on until a marker, which leaves every change open
+        self.change = [self.start, log(np.full((K, K), CHANGE) + np.eye(K) * STAY), log(np.full((K, K), CHANGE))]
         prior = np.full((K, K + 1), OTHER)
         prior[:, 0] = ELSE
         prior[np.arange(K), 1 + np.arange(K)] = OWN
@@ -74,40 +77,40 @@ class ChatModel:
         marker = features[0] / np.maximum(1, features[0].sum(axis=1, keepdims=True)) * 10 + prior
         self.emit = [log(marker), log(features[1] + ELSE), log(features[2] + ELSE)]
 
-    def line_scores(self, text: str | None) -> np.ndarray:
-        """Scores (line, role)."""
-        return np.array([sum(e[:, x] for e, x in zip(self.emit, line_features(line))) for line in lines_of(text)])
+    def line_scores(self, text: str | None) -> list[tuple[np.ndarray, int]]:
+        """For each line, the score of each role and how it follows the line before."""
+        out = []
+        for i, line in enumerate(lines_of(text)):
+            found = line_features(line)
+            out.append((sum(e[:, x] for e, x in zip(self.emit, found)), BEGINS if i == 0 else MARKED if found[0] else GOES_ON))
+        return out
 
-    def step(self, into: np.ndarray, line: np.ndarray, begins: bool) -> tuple[np.ndarray, np.ndarray]:
+    def step(self, into: np.ndarray, line: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Scores into a line from rows of `into` (entry, role), and where from."""
-        reach = into[..., :, None] + (self.start if begins else self.inside)
+        reach = into[..., :, None] + self.change[kind]
         return reach.max(axis=-2) + line, reach.argmax(axis=-2)
 
     def matrix(self, texts: list[str | None]) -> np.ndarray:
         """Best score from each role before the texts to each role at their end."""
         into = np.where(np.eye(K, dtype=bool), 0.0, -1e300)
         for text in texts:
-            for i, line in enumerate(self.line_scores(text)):
-                into, _ = self.step(into, line, i == 0)
+            for line, kind in self.line_scores(text):
+                into, _ = self.step(into, line, kind)
         return into
 
-    def enter(self) -> np.ndarray:
-        """Scores before the first row; the role before it is none, so the first table replaces the start table."""
-        return self.first
-
     def path(self, texts: list[str | None], entry: int | None, leave: int) -> list[list[int]]:
         """The roles of the lines of each text, given the role before (None: the conversation begins) and at the end."""
         scores, back, counts = None, [], []
         for text in texts:
             rows = self.line_scores(text)
             counts.append(len(rows))
-            for i, line in enumerate(rows):
+            for line, kind in rows:
                 if scores is None and entry is None:
                     scores, come = self.first + line, np.zeros(K, dtype=int)
                 elif scores is None:
                     scores, come = self.start[entry] + line, np.full(K, entry)
                 else:
-                    scores, come = self.step(scores, line, i == 0)
+                    scores, come = self.step(scores, line, kind)
                 back.append(come)
         role, flat = leave, []
         for come in reversed(back):
@@ -193,14 +196,10 @@ def parse(conversations: DataFrame, model: ChatModel | None = None) -> DataFrame
         m = sent.value
         for (conv, chunk), columns in _runs(batches, 2):
             whole = m.matrix(columns[3])
-            texts = columns[3]
-            begin = m.first + m.line_scores(texts[0])[0]
-            rest = m.line_scores(texts[0])[1:]
-            for line in rest:
-                begin, _ = m.step(begin, line, False)
-            for text in texts[1:]:
-                for i, line in enumerate(m.line_scores(text)):
-                    begin, _ = m.step(begin, line, i == 0)
+            begin = None
+            for text in columns[3]:
+                for line, kind in m.line_scores(text):
+                    begin = m.first + line if begin is None else m.step(begin, line, kind)[0]
             yield pa.RecordBatch.from_arrays([pa.array([conv]), pa.array([chunk], longs), pa.array([whole.ravel().tolist()]), pa.array([begin.tolist()])], ["conv", "chunk", "matrix", "begin"])
 
     def chained(batches):

@@ -35,8 +35,9 @@ from .common import saved, small_batches
 
 STATES, OWN, FORMS, HEAD = 8, 8192, 16384, 1 << 18
 ITERATIONS, SEGMENT, LANES, SEEDS = 3, 128, 1024, 512
-#: Smoothing: of a word within its class (and in the base), of emissions as a share of the corpus', of state changes.
-ALPHA, EMIT, MOVE = 0.1, 1.0, 1.0
+#: Smoothing: of a word within its class (and in the base), of each state's emissions by tokens of the whole corpus, of
+#: state changes.
+ALPHA, EMIT, MOVE = 0.1, 500.0, 1.0
 CLASSES = OWN + FORMS
 #: Tokens that a task scores at a time.
 HOLD = 3_000_000
@@ -129,7 +130,7 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
         if held + words > HEAD:
             break
         least, held = n, held + words
-    top = counts.where(F.col("n") >= least).toArrow()
+    top = counts.where((F.col("n") >= least) | (F.length("word") == 0)).toArrow()
     order = sorted(zip(top.column("n").to_pylist(), top.column("word").to_pylist()), key=lambda x: (-x[0], x[1]))
     end = [x for x in order if x[1] == END]
     order = end + [x for x in order if x[1] != END]  # the end mark always has a class of its own
@@ -187,7 +188,7 @@ class Hmm:
     def of_counts(first, move, emit, corpus) -> Hmm:
         first = first + MOVE
         move = move + MOVE
-        emit = emit + EMIT * len(corpus) * corpus[:, None] + 1e-3
+        emit = emit + EMIT * corpus[:, None]
         return Hmm(first / first.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
     def log10(self, sequences: list[np.ndarray]) -> np.ndarray:
@@ -344,7 +345,8 @@ def _seeded(rows: DataFrame, corpus: np.ndarray) -> Hmm:
 
 
 def train(rows: DataFrame, x: Lexicon, iterations: int = ITERATIONS) -> Hmm:
-    corpus = (x.class_tokens + ALPHA) / (x.class_tokens + ALPHA).sum()
+    corpus = x.class_tokens + ALPHA / CLASSES
+    corpus = corpus / corpus.sum()
     model = _seeded(rows, corpus)
     for _ in range(iterations):
         first, move, emit = _e_step(rows, model)

@@ -177,7 +177,8 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     if not more.isEmpty():
         found = connected_components(links.unionAll(more))
     of_class = classes.select("set_key", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
-    out = rows.join(of_class, "set_key", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+    own = rows.withColumn("own_key", F.when(F.col("doc_id").isNotNull(), F.col("set_key")))
+    out = own.join(of_class.withColumnRenamed("set_key", "own_key"), "own_key", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
