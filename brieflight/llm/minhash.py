@@ -5,10 +5,11 @@ which candidates come; of each minimum only the low BITS bits are kept, packed i
 corrected for chance collisions, estimates the similarity of a candidate pair by bit counts. What passes, with a margin,
 is confirmed on the full sets.
 
-A bucket of candidates is not expanded into pairs. First every class is compared with its bucket's smallest and then with
-its largest id; these links already join copies of one text. Then only buckets that still hold several components are
-left, and in them the classes outside the bucket's largest component are compared with those of other components. A pair
-that shares a bucket is thus compared or already connected, so no connection between candidates is lost.
+A bucket of candidates is not expanded into pairs. In three rounds every class is compared with one other: the smallest
+id of its buckets, then one of another component; these links already join copies of one text. Then only buckets that
+still hold several components are left, and in them the classes outside the bucket's largest component are compared with
+those of other components, each pair in one of its buckets. A pair that shares a bucket is thus compared or already
+connected, so no connection between candidates is lost.
 
 Defined results: a text with fewer words than a shingle is one shingle; a null, empty or blank text has none and is linked
 with nothing; a null doc_id is linked with nothing and kept; rows that repeat a doc_id count as one node; the smallest
@@ -30,8 +31,8 @@ from .common import connected_components, saved, small_batches
 HASHES, BANDS, BITS = 128, 32, 4
 ROWS = HASHES // BANDS
 LANES = 64 // BITS
-#: Below the threshold by this much, an estimate still goes to the exact check (more than 5 standard deviations).
-MARGIN = 0.2
+#: Below the threshold by this much, an estimate still goes to the exact check (4.5 standard deviations).
+MARGIN = 0.15
 WORDS, PERCENT = 5, 80
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -142,6 +143,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         small_batches(spark)
 
 
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """key, id, component of each entry."""
+    return members.select("key", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+
+
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per document."""
     least = percent / 100 - MARGIN
@@ -153,26 +159,32 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     shared = entries.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
     members = saved(entries.join(shared, "key"), "minhash-buckets")
     ids = members.select("id").distinct()
-    sig = saved(classes.join(ids, "id", "left_semi").select("id", "n", "signature"), "minhash-signatures")
+    sig = saved(classes.join(ids, "id", "left_semi").select("id", "n", "signature", "bands"), "minhash-signatures")
     sets = _sets(docs, ids, words)
     x, y = (sig.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("signature").alias(f"sig_{k}")) for k in "ab")
     alike = f"{percent} * greatest(n_a, n_b) <= 100 * least(n_a, n_b) and {estimate('sig_a', 'sig_b')} >= {least}D"
-
-    def star(lead: str) -> DataFrame:
-        pairs = members.select(F.col("id").alias("a"), F.col(lead).alias("b")).where("a <> b").distinct()
-        return pairs.join(x, "a").join(y, "b").where(alike).select("a", "b")
-
-    links = _confirmed(saved(star("first").unionAll(star("last")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "minhash-pairs"), sets, percent)
-    found = connected_components(links)
-    placed = members.select("key", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    placed = saved(placed, "minhash-placed")
+    links, found = None, None
+    # each round compares a class with one other of its buckets: the smallest id, then one of another component
+    for lead in (F.min("first"), F.min("least"), F.max("most")):
+        if found is None:
+            pairs = members.where("id <> first").groupBy("id").agg(lead.alias("b"))
+        else:
+            parts = _placed(members, found).groupBy("key").agg(F.min(F.struct("component", "id")).alias("low"), F.max(F.struct("component", "id")).alias("high")).where("low.component <> high.component")
+            mixed = _placed(members, found).join(parts, "key").select("id", F.when(F.col("component") != F.col("low.component"), F.col("low.id")).alias("least"), F.when(F.col("component") != F.col("high.component"), F.col("high.id")).alias("most"))
+            pairs = mixed.groupBy("id").agg(lead.alias("b")).where("b is not null")
+        pairs = pairs.withColumnRenamed("id", "a").join(x, "a").join(y, "b").where(alike).select("a", "b")
+        new = _confirmed(saved(pairs, "minhash-pairs"), sets, percent)
+        links = new if links is None else links.unionAll(new)
+        found = connected_components(links)
+    placed = _placed(members, found)
     shares = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-    mixed = saved(shares.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("top.component").alias("major")), "minhash-mixed")
-    inside = placed.join(mixed, "key").join(sig, "id").select("key", "id", "component", "major", "n", "signature")
-    inside = saved(inside, "minhash-inside")
-    few = inside.where("component <> major").select("key", F.col("id").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("signature").alias("sig_a"))
-    all_ = inside.select("key", F.col("id").alias("b"), F.col("component").alias("c_b"), "major", F.col("n").alias("n_b"), F.col("signature").alias("sig_b"))
-    rest = few.join(all_, "key").where(f"c_a <> c_b and (c_b = major or a > b) and {alike}").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    mixed = shares.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("top.component").alias("major"))
+    inside = saved(placed.join(mixed, "key").join(sig, "id").select("key", "id", "component", "major", "n", "signature", "bands"), "minhash-inside")
+    few = inside.where("component <> major").select("key", F.col("id").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("signature").alias("sig_a"), F.col("bands").alias("bands_a"))
+    all_ = inside.select("key", F.col("id").alias("b"), F.col("component").alias("c_b"), "major", F.col("n").alias("n_b"), F.col("signature").alias("sig_b"), F.col("bands").alias("bands_b"))
+    # a pair is taken in the smallest of the buckets that both are in
+    once = f"c_a <> c_b and (c_b = major or a > b) and {alike} and key = array_min(array_intersect(bands_a, bands_b))"
+    rest = few.join(all_, "key").where(once).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     more = _confirmed(saved(rest, "minhash-rest"), sets, percent)
     if not more.isEmpty():
         found = connected_components(links.unionAll(more))
