@@ -47,7 +47,7 @@ CASE_NUMBERS = [
 
 def case_numbers(c: Column) -> Column:
     """The case numbers of a line: after the first rule that fits, further ones after commas, `and` or &."""
-    first = F.trim(rule_chain(c, CASE_NUMBERS))
+    first = F.trim(F.regexp_replace(rule_chain(c, CASE_NUMBERS), r"(?i)\s*(?:,|&|\band\b).*$", ""))
     rest = F.regexp_extract_all(c, F.lit(r"(?:,|&|\band\b)\s*([A-Z0-9][A-Z0-9/.\-]*\d[A-Z0-9/.\-]*)"), 1)
     return F.when(first.isNotNull(), F.array_distinct(F.concat(F.array(first), rest)))
 
