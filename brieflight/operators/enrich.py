@@ -292,6 +292,23 @@ def press_summary_fields(blocks: DataFrame) -> DataFrame:
     )
 
 
+def press_summary_header(blocks: DataFrame) -> DataFrame:
+    """stage of the first blocks of a press summary: date, type, case, appeal, justices; null where there is no such header."""
+    c = text.clean_whitespace(F.col("text"))
+    early = F.col("pos") < 30
+    steps = [
+        ("date", early & dates.find(c).isNotNull()), ("type", early & c.rlike("(?i)^press summary$")), ("cite", early & c.rlike(r"\[\d{4}\] UK(?:SC|PC) \d+")),
+        ("appeal", early & c.rlike("(?i)^on appeal from")), ("justices", early & c.rlike("(?i)^justices:?")), ("body", F.upper(c).isin("BACKGROUND TO THE APPEAL", "BACKGROUND TO THE APPEALS", "BACKGROUND", "JUDGMENT")),
+    ]
+    return seq.stages(blocks, steps, optional=("date", "appeal", "body"))
+
+
+def without_crest(blocks: DataFrame) -> DataFrame:
+    """Without a first block that holds an image only (a crest or seal) before the court's name."""
+    only = (F.col("pos") == 0) & F.exists("inlines", lambda i: i["kind"] == "image") & text.is_blank(F.col("text"))
+    return blocks.where(~F.coalesce(only, F.lit(False)))
+
+
 def label_values(c: Column, labels: list[str]) -> Column:
     """struct(label, value) of a `Label: value` line."""
     p = r"(?i)^\s*(" + "|".join(labels) + r")\s*[:\t]\s*(.*)$"

@@ -125,3 +125,39 @@ def instrument_dates(blocks: DataFrame) -> DataFrame:
     kind = F.lower(F.regexp_extract(s, label, 1))
     rows = blocks.where(s.rlike(label)).select("doc_id", "pos", kind.alias("k"), d.parse_bilingual(F.regexp_replace(F.regexp_extract(s, label, 2), r"(?i)(\d)(?:st|nd|rd|th)\b", "$1")).alias("date"))
     return rows.select("doc_id", "pos", F.when(F.col("k").rlike("^(made|gwnaed)"), "made").when(F.col("k").rlike("^(laid|gosodwyd)"), "laid").when(F.col("k").rlike("^(coming|yn dod)"), "commence").otherwise("other").alias("kind"), "date")
+
+
+# assessments: passes over divisions
+
+
+def drop_empty(divisions: DataFrame) -> DataFrame:
+    """Without leaves that have neither number, heading nor text."""
+    parents = divisions.select("doc_id", F.col("parent_id").alias("node_id")).where("node_id is not null").distinct().withColumn("has", F.lit(1))
+    bare = t.is_blank(F.col("text")) & F.col("number").isNull() & F.col("heading").isNull()
+    return divisions.join(parents, ["doc_id", "node_id"], "left").where(~bare | F.col("has").isNotNull()).drop("has")
+
+
+def promote_only_children(divisions: DataFrame, name: str = "paragraphs") -> DataFrame:
+    """Children of a wrapper that is its parent's only child move up to that parent, and the wrapper goes."""
+    alone = divisions.groupBy("doc_id", "parent_id").agg(F.count("*").alias("n")).where("n = 1").select("doc_id", "parent_id")
+    wrappers = divisions.where((F.col("name") == name) & F.col("number").isNull() & F.col("heading").isNull())
+    gone = wrappers.join(alone, (wrappers.doc_id == alone.doc_id) & wrappers.parent_id.eqNullSafe(alone.parent_id), "left_semi").select("doc_id", F.col("node_id").alias("w"), F.col("parent_id").alias("up"), F.lit(1).alias("gone"))
+    up = divisions.join(gone, (divisions.doc_id == gone.doc_id) & (divisions.parent_id == gone.w), "left").select(divisions["*"], "up", F.col("gone").alias("moved"))
+    up = up.withColumn("parent_id", F.when(F.col("moved").isNotNull(), F.col("up")).otherwise(F.col("parent_id"))).withColumn("depth", F.col("depth") - F.coalesce("moved", F.lit(0))).drop("up", "moved")
+    return up.join(gone.select("doc_id", F.col("w").alias("node_id")), ["doc_id", "node_id"], "left_anti")
+
+
+def renumber(divisions: DataFrame) -> DataFrame:
+    """ord anew, without gaps, in the order of the divisions below one parent."""
+    return divisions.withColumn("ord", F.row_number().over(Window.partitionBy("doc_id", "parent_id").orderBy("ord", "node_id")) - 1)
+
+
+def header_values(blocks: DataFrame, labels: tuple[str, ...] = ("Title", "Stage", "Date", "IA No", "RPC Reference No", "Lead department or agency", "Other departments or agencies", "Type of measure", "Source of intervention", "Contact for enquiries")) -> DataFrame:
+    """doc_id, label, value of an assessment's first page: a label with its value on the same line or the lines after it."""
+    line = t.clean_whitespace(F.col("text"))
+    pattern = "(?i)^(" + "|".join(labels) + ")\\s*:"
+    head = blocks.where(F.col("pos") < 60).withColumn("text", line)
+    from . import sequence as seq
+
+    rows = seq.continuations(head, F.col("text").rlike(pattern), F.length("text") < 120)
+    return rows.select("doc_id", F.lower(F.regexp_extract("text", pattern, 1)).alias("label"), F.trim(F.regexp_replace("text", pattern, "")).alias("value"))

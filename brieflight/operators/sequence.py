@@ -95,6 +95,34 @@ def header_split(blocks: DataFrame, *, title: Column, ends: Column, second: Colu
     return rows.withColumn("cut", cut).withColumn("part", F.when(F.col(o) < F.col("cut"), "header").otherwise("body")).drop("__title")
 
 
+def tribunal_split(blocks: DataFrame, *, title: Column, table_title: Column, introduction: Column, copyright: Column, ignored: int = 10, by=BY, order=ORDER) -> DataFrame:
+    """Header through a title line, else through a table that ends with one, else before an introduction, else through a
+    copyright line that is not among the last `ignored` rows. No attempt fits: all is body."""
+    o, whole = order[0], Window.partitionBy(*by)
+    rows = blocks.withColumn("__left", F.count("*").over(from_here(by, order)))
+    at = lambda c: F.min(F.when(c, F.col(o))).over(whole)
+    cut = F.coalesce(at(title) + 1, at(table_title) + 1, at(introduction), at(copyright & (F.col("__left") > ignored)) + 1)
+    return rows.withColumn("cut", cut).withColumn("part", F.when(F.col(o) < F.col("cut"), "header").otherwise("body")).drop("__left")
+
+
+def stages(df: DataFrame, steps: list[tuple[str, Column]], name: str = "stage", optional: tuple[str, ...] = (), by=BY, order=ORDER) -> DataFrame:
+    """A state machine that only goes forward: each step begins at the first row after the step before where its condition
+    holds. A required step that never comes fails the whole: `stage` is then null in all rows of the document. Rows carry
+    the last step begun."""
+    o, whole = order[0], Window.partitionBy(*by)
+    rows, last, ok, begun = df, F.lit(None), F.lit(True), []
+    for i, (step, condition) in enumerate(steps):
+        after = condition if i == 0 else condition & (F.col(o) > F.col("__last"))
+        rows = rows.withColumn(f"__at{i}", F.min(F.when(after, F.col(o))).over(whole))
+        rows = rows.withColumn("__last", F.coalesce(f"__at{i}", F.col("__last") if i else F.lit(-1)))
+        if step not in optional:
+            ok = ok & F.col(f"__at{i}").isNotNull()
+        begun.append((i, step))
+    for i, step in begun:
+        last = F.when(F.col(o) >= F.col(f"__at{i}"), step).otherwise(last)
+    return rows.withColumn(name, F.when(ok, last)).drop("__last", *(f"__at{i}" for i, _ in begun))
+
+
 def second_break_split(blocks: DataFrame, breaks: Column, speech: Column, by=BY, order=ORDER) -> DataFrame:
     """Header up to the second break, or up to a first break that a speech follows."""
     n = blocks.withColumn("__breaks", F.sum(F.when(breaks, 1).otherwise(0)).over(up_to_here(by, order)))

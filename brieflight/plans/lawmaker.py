@@ -240,3 +240,43 @@ def provision_ids(divisions: DataFrame) -> DataFrame:
         now = rows.where(F.col("depth") == depth).select("doc_id", F.col("parent_id").alias("p"), F.col("node_id").alias("n"), "own").join(now.select("doc_id", F.col("node_id").alias("p"), "eid"), ["doc_id", "p"]).select("doc_id", F.col("n").alias("node_id"), F.concat_ws("__", "eid", "own").alias("eid"))
         out = out.unionAll(now)
     return divisions.join(out, ["doc_id", "node_id"], "left")
+
+
+#: Own patterns of what stands before the provisions, in English and Welsh.
+HEADER = [
+    ("longTitle", r"(?i)^(?:A Bill to|An Act (?:to|of the)|Bil i|Deddf (?:i|gan))\b"),
+    ("preamble", r"(?i)^(?:Whereas\b|The (?:Secretary of State|Scottish Ministers|Welsh Ministers|Treasury|Department)\b.* (?:make|makes) the following|Mae Gweinidogion Cymru yn gwneud)"),
+    ("enacting", r"(?i)^(?:Be it (?:therefore )?enacted|Be it enacted by being passed|Having been passed by|Gan ei fod wedi ei basio)"),
+]
+
+
+def header(blocks: DataFrame) -> DataFrame:
+    """part of each block: cover, then longTitle, preamble, enacting from the lines that begin them, and body from the first
+    number or grouping heading on."""
+    from pyspark.sql.window import Window
+
+    from ..operators import sequence as seq
+
+    c = F.trim("text")
+    first = F.min(F.when(F.col("number").isNotNull() | c.rlike(GROUPS[1][1]) | c.rlike(SCHEDULE), F.col("pos"))).over(Window.partitionBy("doc_id"))
+    kind = F.lit(None).cast("string")
+    for name, pattern in reversed(HEADER):
+        kind = F.when(c.rlike(pattern), name).otherwise(kind)
+    rows = blocks.withColumn("__first", first).withColumn("__kind", kind)
+    last = F.last("__kind", ignorenulls=True).over(seq.up_to_here())
+    return rows.withColumn("part", F.when(F.col("pos") >= F.col("__first"), "body").otherwise(F.coalesce(last, F.lit("cover")))).drop("__first", "__kind")
+
+
+def block_lists(blocks: DataFrame) -> DataFrame:
+    """list (number of the list a block is in, null outside) and item: runs of numbered or bulleted blocks whose number
+    follows the one before; a deeper block without number goes with its item."""
+    from ..operators import sequence as seq
+
+    mark = F.col("number").isNotNull() | F.col("text").rlike(r"^\s*[•–-]\s")
+    inside = mark | (F.coalesce("left_in", F.lit(0.0)) > 0)
+    rows = blocks.withColumn("__in", inside).withColumn("__mark", mark)
+    begins = F.col("__in") & F.col("__mark") & ~F.coalesce(F.lag("__in").over(seq.window()), F.lit(False))
+    rows = rows.withColumn("__list", seq.island(begins))
+    open_ = F.col("__in") & (F.col("__list") > 0)
+    rows = rows.withColumn("list", F.when(open_, F.col("__list")))
+    return rows.withColumn("item", F.when(open_, F.sum(F.when(F.col("__mark"), 1).otherwise(0)).over(seq.up_to_here(["doc_id", "__list"])))).drop("__in", "__mark", "__list")

@@ -207,6 +207,20 @@ def _runs(p, rels: dict, state: dict):
     return out, fields, bookmarks, breaks
 
 
+def _text_boxes(p) -> list:
+    """Contents of text boxes in a paragraph; the fallback copy of a box is left out."""
+    out, todo = [], [p]
+    while todo:
+        el = todo.pop()
+        for c in reversed(list(el)):
+            tag = c.tag.rpartition("}")[2]
+            if tag == "txbxContent":
+                out.append(c)
+            elif tag != "Fallback":
+                todo.append(c)
+    return out
+
+
 def read(content: bytes, doc_id: str) -> tuple[list[dict], list[dict]]:
     """Blocks and table cells of one file."""
     z = zipfile.ZipFile(io.BytesIO(content))
@@ -246,6 +260,10 @@ def read(content: bytes, doc_id: str) -> tuple[list[dict], list[dict]]:
                 break_ = c.find(f"{W}pPr/{W}sectPr") is not None
                 blocks.append(b)
                 pos += 1
+                for box in _text_boxes(c):  # their lines come after the line that holds them
+                    for inner in box.findall(W + "p"):
+                        blocks.append(paragraph(inner, part, pos, False))
+                        pos += 1
             elif tag == "tbl":
                 for i, tr in enumerate(c.iter(W + "tr")):
                     for k, tc in enumerate(tr.findall(W + "tc")):

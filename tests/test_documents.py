@@ -51,6 +51,7 @@ def word(spark, tmp_path_factory):
         + '<w:p><w:bookmarkStart w:name="b1"/></w:p>'
         + p("", '<w:ind w:left="720" w:hanging="360"/>', '<w:r><w:rPr><w:b/><w:color w:val="FF0000"/></w:rPr><w:t>bold</w:t><w:tab/></w:r><w:del><w:r><w:t>gone</w:t></w:r></w:del><w:hyperlink r:id="l1"><w:r><w:t>link</w:t></w:r></w:hyperlink><w:r><w:drawing><a:blip r:embed="i1"/></w:drawing></w:r>')
         + p("", "", '<w:r><w:br w:type="page"/><w:t>after break</w:t></w:r><w:r><w:fldChar w:fldCharType="begin"/></w:r><w:r><w:instrText>PAGE</w:instrText></w:r><w:r><w:fldChar w:fldCharType="separate"/></w:r><w:r><w:t>7</w:t></w:r><w:r><w:fldChar w:fldCharType="end"/></w:r>')
+        + '<w:p><w:r><w:t>box:</w:t></w:r><w:r><w:drawing><w:txbxContent><w:p><w:r><w:t>inside</w:t></w:r></w:p></w:txbxContent></w:drawing></w:r></w:p>'
         + '<w:tbl><w:tr><w:tc><w:tcPr><w:gridSpan w:val="2"/></w:tcPr><w:p><w:r><w:t>wide</w:t></w:r></w:p></w:tc></w:tr><w:tr><w:tc><w:p><w:r><w:t>a</w:t></w:r></w:p></w:tc><w:tc><w:tcPr><w:vMerge/></w:tcPr><w:p/></w:tc></w:tr></w:tbl>'
     )
     styles = '<w:style w:styleId="H1"><w:pPr><w:outlineLvl w:val="1"/><w:jc w:val="center"/></w:pPr></w:style><w:style w:styleId="H2"><w:basedOn w:val="H1"/></w:style>'
@@ -73,7 +74,8 @@ def test_word_blocks(spark, word):
     assert body[6].text == "bold\tlink" and body[6].left_in == 0.5 and body[6].first_line_in == -0.25
     assert [(i.kind, i.bold, i.href) for i in body[6].inlines] == [("text", True, None), ("tab", True, None), ("text", None, "http://x.org/"), ("image", None, None)]
     assert body[7].line_break_before and body[7].fields == ["{", "PAGE", "|", "}"]
-    assert body[8].kind == "table"
+    assert [b.text for b in body[8:10]] == ["box:", "inside"]
+    assert body[10].kind == "table"
 
 
 def test_word_parts(spark, word):
@@ -228,6 +230,33 @@ def test_header_split(spark):
     assert [(r.doc_id, r.pos) for r in got.where("part = 'header'").orderBy("doc_id", "pos").collect()] == [(1, 0), (1, 1), (1, 2), (2, 0)]
 
 
+def test_tribunal_split_and_stages(spark):
+    lines = [(1, 0, "Court"), (1, 1, "DECISION"), (1, 2, "x"), (2, 0, "a"), (2, 1, "Introduction"), (3, 0, "© Crown"), (3, 1, "z")]
+    b, t = spark.createDataFrame(lines, "doc_id int, pos int, text string"), F.col("text")
+    got = seq.tribunal_split(b, title=t == "DECISION", table_title=F.lit(False), introduction=t == "Introduction", copyright=t.startswith("©"))
+    assert [(r.doc_id, r.pos) for r in got.where("part = 'header'").orderBy("doc_id", "pos").collect()] == [(1, 0), (1, 1), (2, 0)]
+    ps = spark.createDataFrame([(1, i, x) for i, x in enumerate(["2 May 2020", "PRESS SUMMARY", "A v B [2020] UKSC 1", "JUSTICES: Lord A", "BACKGROUND TO THE APPEAL", "text"])] + [(2, 0, "nothing")], "doc_id int, pos int, text string")
+    assert [r.stage for r in enrich.press_summary_header(ps).orderBy("doc_id", "pos").collect()] == ["date", "type", "cite", "justices", "body", "body", None]
+
+
+def test_bill_header_and_lists(spark):
+    lines = [(None, "Thing Bill"), (None, "A Bill to do"), (None, "things."), (None, "Be it enacted by"), ("1", "Section"), (None, "after")]
+    b = spark.createDataFrame([(1, i, n, t, 0.0) for i, (n, t) in enumerate(lines)], "doc_id int, pos int, number string, text string, left_in double")
+    assert [r.part for r in lawmaker.header(b).orderBy("pos").collect()] == ["cover", "longTitle", "longTitle", "enacting", "body", "body"]
+    l = spark.createDataFrame([(1, 0, None, "x", 0.0), (1, 1, "(a)", "y", 0.5), (1, 2, None, "more", 0.5), (1, 3, None, "• z", 0.0), (1, 4, None, "end", 0.0)], "doc_id int, pos int, number string, text string, left_in double")
+    assert [(r.list, r.item) for r in lawmaker.block_lists(l).orderBy("pos").collect()] == [(None, None), (1, 1), (1, 1), (1, 2), (None, None)]
+
+
+def test_assessment_passes(spark):
+    d = spark.createDataFrame([("1", 0, None, 0, 0, "section", "1", None, ""), ("1", 1, 0, 0, 1, "paragraphs", None, None, ""), ("1", 2, 1, 0, 2, "paragraph", None, None, "x"), ("1", 3, 1, 5, 2, "paragraph", None, None, " ")], structure.DIVISIONS)
+    from brieflight.operators import legislation
+
+    out = legislation.renumber(legislation.promote_only_children(legislation.drop_empty(d))).orderBy("node_id").collect()
+    assert [(r.node_id, r.parent_id, r.depth) for r in out] == [(0, None, 0), (2, 0, 1)]
+    head = spark.createDataFrame([(1, 0, "Title: The"), (1, 1, "plan"), (1, 2, "Stage: Final"), (1, 3, "y" * 200)], "doc_id int, pos int, text string")
+    assert {(r.label, r.value) for r in legislation.header_values(head).collect()} == {("title", "The plan"), ("stage", "Final")}
+
+
 def test_plan_has_one_exchange(spark):
     b = spark.range(100).repartition(3).select(F.col("id").alias("doc_id"), F.col("id").alias("pos"), F.lit("x").alias("text"))
     d = seq.cut_before_first(b.withColumn("g", seq.island(F.col("text") == "x")), F.col("text") == "x")
