@@ -836,3 +836,21 @@ PS = [(1, 0, "2 March 2023"), (1, 1, "PRESS SUMMARY"), (1, 2, "Smith (Appellant)
 @query("SELECT 1 AS doc_id, '2023-03-02' AS date, 'PRESS SUMMARY' AS doc_type, 'Smith (Appellant) v Jones (Respondent)' AS case_name, '[2023] UKSC 7' AS cite, 'On appeal from [2021] EWCA Civ 1' AS on_appeal_from, 'Lord A, Lady B' AS justices")
 def e13_press_summary(spark, sf_dir):
     return enrich.press_summary_fields(values(spark, PS, "doc_id int, pos int, text string")).withColumn("date", F.col("date").cast("string"))
+
+
+# fields
+
+FIELDS = [
+    (0, ' HYPERLINK "http://x.org/" \\l "p" ', "handle", "http://x.org/#p", None, None), (1, ' HYPERLINK \\l "b1" ', "handle", "#b1", None, None), (2, " REF _Ref1 \\h ", "handle", "#_Ref1", None, None), (3, " PRIVATE x", "skip", None, None, None),
+    (4, " =SUM(ABOVE) ", "contents", None, None, None), (5, " SYMBOL 183 \\f \"Symbol\" \\s 10 \\h ", "handle", None, "·", None), (6, " SYMBOL 150 \\* MERGEFORMAT ", "handle", None, "–", None), (7, " LISTNUM L1 \\s 5", "handle", None, None, 5),
+    (8, " LISTNUM L1", "handle", None, None, 6), (9, " AUTONUM ", "handle", None, None, 1), (10, " LINK Excel.Sheet.8 x", "unsupported", None, None, None), (11, " seq Figure", "contents", None, None, None), (12, " WHAT ", "unknown", None, None, None),
+]
+
+
+@query("SELECT * FROM " + values_sql([(i, a, t, s, n) for i, _, a, t, s, n in FIELDS], "pos int, action string, target string, symbol string, n int"))
+def d2_d3_fields(spark, sf_dir):
+    from ..operators import fields
+
+    f = values(spark, [(1, i, c) for i, c, *_ in FIELDS], "doc_id int, pos int, code string")
+    c = F.col("code")
+    return fields.numbered(f).select("pos", fields.action(c).alias("action"), fields.link(c).alias("target"), fields.symbol(c).alias("symbol"), "n")
