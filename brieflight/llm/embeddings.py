@@ -2,7 +2,8 @@
 
 Vectors are normalised in double precision; equal vectors are one class. In each of several tables a class is put into the
 bucket of PROJECTIONS(n) quantised random projections floor((a.v + b) / WIDTH). Classes that share a bucket are compared by
-exact cosine there. Buckets larger than BLOCK are dealt out as pairs of blocks, so no task gathers more than two blocks.
+exact cosine there. In a bucket larger than BLOCK every class is first compared with the smallest id alone; if
+that does not join the bucket into one component, it is dealt out as pairs of blocks, so no task gathers more than two.
 What a bucket returns is not its pairs but one row for each class that it joins to another. From these rows come the
 components; within each component, again in pairs of blocks, exact cosines count the links of every class.
 
@@ -174,6 +175,28 @@ def _compared(rows: DataFrame, classes: DataFrame, cosine: float, count: bool) -
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _to_first(members: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
+    """Edges (a, b) between a class and the smallest id of a bucket of more than BLOCK, where they are linked."""
+
+    def run(batches):
+        for b in batches:
+            x, y = (b.column(i).to_pylist() for i in (2, 3))
+            keep = [len(u) == len(v) and float(np.frombuffer(u, dtype=np.float64) @ np.frombuffer(v, dtype=np.float64)) >= cosine for u, v in zip(x, y)]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    first = members.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where(F.col("n") > BLOCK).select("key", "b")
+    pairs = members.join(first, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+    unit = lambda k, n: classes.select(F.col("id").alias(k), F.col("unit").alias(n))
+    return pairs.join(unit("a", "x"), "a").join(unit("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Without buckets of more than BLOCK that lie within one component already."""
+    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
+    done = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("p"), F.max("c").alias("q")).where((F.col("n") > BLOCK) & (F.col("p") == F.col("q"))).select("key")
+    return members.join(done, "key", "left_anti")
+
+
 def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per vector."""
     spark = vectors.sparkSession
@@ -184,7 +207,9 @@ def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     classes = real.groupBy("unit").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
     classes = saved(classes.groupBy("id").agg(F.min(F.struct("unit", "weight")).alias("c")).select("id", F.col("c.unit").alias("unit"), F.col("c.weight").alias("weight")), "vector-classes")
     members = saved(_keys(classes, *plan(classes.count(), cosine)), "vector-keys")
-    edges = saved(_compared(_in_blocks(members, "key"), classes, cosine, False).distinct(), "vector-edges")
+    stars = saved(_to_first(members, classes, cosine), "vector-stars")
+    left = members if stars.isEmpty() else saved(_unsettled(members, connected_components(stars)), "vector-left")
+    edges = saved(_compared(_in_blocks(left, "key"), classes, cosine, False).unionAll(stars).distinct(), "vector-edges")
     found = saved(connected_components(edges), "vector-components")
     inside = found.select(F.col("component").alias("key"), F.col("node").alias("id"))
     counts = _compared(_in_blocks(inside, "key"), classes, cosine, True).groupBy("a").agg(F.sum("b").alias("others")).withColumnRenamed("a", "id")
