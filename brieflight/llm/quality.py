@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -91,38 +92,56 @@ class Ordinal:
         return [1 / (1 + math.exp(min(700.0, max(-700.0, t - score)))) for t in self.thresholds]
 
 
-def fit(rows: list[tuple[np.ndarray, int]], grades: int = GRADES, epochs: int = EPOCHS) -> Ordinal | None:
-    """Maximum likelihood by AdaGrad over small batches, in a fixed order. Gaps between thresholds are kept positive."""
-    if len({g for _, g in rows}) < 2:
-        return None
-    # words in too few documents, and those that say nothing about any grade, get no weight
-    flat = np.concatenate([f for f, _ in rows])
-    count = np.bincount(flat, minlength=BUCKETS)
+class Rated(NamedTuple):
+    """Features of rated documents, end to end: those of document i are flat[starts[i]:starts[i + 1]]."""
+
+    flat: np.ndarray
+    starts: np.ndarray
+    grades: np.ndarray
+
+
+def telling(data: Rated, grades: int) -> np.ndarray:
+    """Which features get a weight: not words in too few documents, nor those that say nothing about any grade."""
+    count, seen = np.zeros(BUCKETS), np.zeros((grades - 1, BUCKETS))
+    for s in range(0, len(data.grades), 1000):  # counts by parts, which keeps the driver's memory small
+        e = min(s + 1000, len(data.grades))
+        part, sizes = data.flat[data.starts[s] : data.starts[e]], np.diff(data.starts[s : e + 1])
+        count += np.bincount(part, minlength=BUCKETS)
+        for j in range(grades - 1):
+            seen[j] += np.bincount(part, np.repeat((data.grades[s:e] <= j).astype(float), sizes), minlength=BUCKETS)
     often = np.zeros(BUCKETS, dtype=bool)
     for j in range(grades - 1):
-        below = np.array([g <= j for _, g in rows])
-        p = below.mean()
-        seen = np.bincount(flat, np.repeat(below, [len(f) for f, _ in rows]).astype(float), minlength=BUCKETS)
-        often |= np.abs(seen - count * p) >= TELLS * np.sqrt(np.maximum(count * p * (1 - p), 1e-9))
+        p = float((data.grades <= j).mean())
+        often |= np.abs(seen[j] - count * p) >= TELLS * np.sqrt(np.maximum(count * p * (1 - p), 1e-9))
     often &= count >= LEAST
     often[BUCKETS - _SHAPES :] = True
-    rows = [(f[often[f]], g) for f, g in rows]
+    return often
+
+
+def fit(data: Rated, grades: int = GRADES, epochs: int = EPOCHS) -> Ordinal | None:
+    """Maximum likelihood by AdaGrad over small batches, in a fixed order. Gaps between thresholds are kept positive."""
+    if len(np.unique(data.grades)) < 2:
+        return None
+    keep = telling(data, grades)[data.flat]
+    # every document has features of form, so none of these sums is over nothing
+    starts = np.concatenate([[0], np.cumsum(np.add.reduceat(keep, data.starts[:-1], dtype=np.int64))])
+    flat, y_all = data.flat[keep].astype(np.int64), data.grades
     w, squares = np.zeros(BUCKETS), np.full(BUCKETS, 1e-6)
-    share = np.array([(sum(g <= j for _, g in rows) + 0.5) / (len(rows) + 1.0) for j in range(grades - 1)])
+    share = np.array([((y_all <= j).sum() + 0.5) / (len(y_all) + 1.0) for j in range(grades - 1)])
     theta = np.log(share / (1 - share))
     theta = np.maximum.accumulate(theta + np.arange(grades - 1) * 1e-3)
     theta_squares = np.full(grades - 1, 1e-2)
     logistic = lambda x: 1 / (1 + np.exp(-np.clip(x, -500, 500)))
     rng = np.random.default_rng(11)
     for _ in range(epochs):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(y_all))
         for s in range(0, len(order), BATCH):
-            part = [rows[i] for i in order[s : s + BATCH]]
-            sizes = np.array([len(f) for f, _ in part])
-            at = np.concatenate([f for f, _ in part])
+            part = order[s : s + BATCH]
+            sizes = starts[part + 1] - starts[part]
+            at = np.concatenate([flat[starts[i] : starts[i + 1]] for i in part])
             of = np.repeat(np.arange(len(part)), sizes)
             eta = np.bincount(of, w[at], minlength=len(part))
-            y = np.array([g for _, g in part])
+            y = y_all[part]
             edges = np.concatenate([[-np.inf], theta, [np.inf]])
             high, low = logistic(edges[y + 1] - eta), logistic(edges[y] - eta)
             p = np.maximum(high - low, 1e-12)
@@ -139,7 +158,7 @@ def fit(rows: list[tuple[np.ndarray, int]], grades: int = GRADES, epochs: int =
     return Ordinal(w, theta)
 
 
-def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[np.ndarray, int]]:
+def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Rated:
     """(features, grade) of at most `sample` rated documents; only their features come to the driver."""
     small_batches(docs.sparkSession)
     grade = (F.when(F.col("quality") > 0, 1).otherwise(0) + F.when(F.coalesce("toxic", F.lit(0)) > 0, 0).otherwise(1)).cast("int")
@@ -153,13 +172,16 @@ def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tupl
             yield pa.RecordBatch.from_arrays([b.column(at[0]), b.column(at[1]), pa.array([features(t).astype(np.int32) for t in b.column(at[2]).to_pylist()], pa.list_(pa.int32()))], ["id", "grade", "found"])
 
     table = rows.mapInArrow(run, "id long, grade int, found array<int>").toArrow()
-    ids, grades, lists = table.column("id").to_pylist(), table.column("grade").to_pylist(), table.column("found").combine_chunks()
+    ids, grades = np.asarray(table.column("id")), np.asarray(table.column("grade"))
     if not len(ids):
-        return []
-    flat, ends = np.asarray(lists.flatten(), dtype=np.int64), np.asarray(lists.offsets)
-    made = [(i, g, flat[ends[k] - ends[0] : ends[k + 1] - ends[0]]) for k, (i, g) in enumerate(zip(ids, grades))]
-    made.sort(key=lambda r: (r[0], r[1], len(r[2])))
-    return [(f, g) for _, g, f in made]
+        return Rated(np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int64))
+    lists = []  # views of the chunks, one for each document
+    for chunk in table.column("found").chunks:
+        flat, ends = np.asarray(chunk.flatten()), np.asarray(chunk.offsets) - chunk.offsets[0].as_py()
+        lists += [flat[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    sizes = np.array([len(x) for x in lists])
+    order = np.lexsort((sizes, grades, ids))
+    return Rated(np.concatenate([lists[i] for i in order]), np.concatenate([[0], np.cumsum(sizes[order])]), grades[order].astype(np.int64))
 
 
 def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal | None:
