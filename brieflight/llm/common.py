@@ -48,11 +48,10 @@ def connected_components(edges: DataFrame, name: str = "components", rounds: int
 
     Alternating large-star and small-star steps; each step is two keyed aggregations and a join whose edge side can be
     split, so a node with very many neighbours is never gathered in one place. Each round is written to the shared
-    folder. It ends when a round changes nothing.
+    folder. It ends when every node leads to one other that leads nowhere.
     """
     spark = edges.sparkSession
     now = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    mark = None
     for _ in range(rounds):
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
@@ -61,10 +60,10 @@ def connected_components(edges: DataFrame, name: str = "components", rounds: int
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
         moved = large.join(least, large.u == least.k).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = saved(moved.unionAll(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct(), name)
-        seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if mark == (seen.n, seen.h):
+        # settled: every node hangs on one other, and no node that others hang on hangs on another itself
+        twice = now.groupBy("u").agg(F.min("v").alias("p"), F.max("v").alias("q")).where("p <> q").select("u")
+        if twice.unionAll(now.join(now.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")).isEmpty():
             break
-        mark = (seen.n, seen.h)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

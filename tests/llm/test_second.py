@@ -30,6 +30,13 @@ def test_connected_components(spark):
     got = dict(tuple(x) for x in common.connected_components(spark.createDataFrame(pairs, "a long, b long")).collect())
     nodes = {x for p in pairs if p[0] != p[1] for x in p}
     assert got == components(nodes, pairs)
+    for seed in range(3):  # long chains and trees, in any order of names
+        r = random.Random(seed)
+        names = r.sample(range(10_000), 90)
+        pairs = [(names[i], names[r.randrange(i)] if i % 30 else names[i]) for i in range(1, 90)] + [(names[i], names[i + 1]) for i in range(0, 25)]
+        nodes = {x for p in pairs if p[0] != p[1] for x in p}
+        rows = common.connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()
+        assert len(rows) == len(nodes) and dict(map(tuple, rows)) == components(nodes, [p for p in pairs if p[0] != p[1]])
     assert common.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
