@@ -17,7 +17,8 @@ MIME = {
 }
 # Skip flags that mean no.
 NOT_SKIPPED = ["", "n", "no", "f", "false", "0"]
-DOMAIN = "https://caselaw.nationalarchives.gov.uk/"
+#: Where documents are published: a setting of whoever runs the engine, passed as `domain` where another one holds.
+DOMAIN = "https://caselaw.example.org/"
 
 
 def clean_whitespace(c: Column) -> Column:
@@ -79,9 +80,9 @@ def role_label(role: Column) -> Column:
     return camel_to(role, " ")
 
 
-def short_uri(uri: Column) -> Column:
+def short_uri(uri: Column, domain: str = DOMAIN) -> Column:
     """The path of a document address, without id/ and data suffixes; null if nothing is left."""
-    u = F.when(uri.startswith(DOMAIN), F.substring(uri, len(DOMAIN) + 1, 1 << 20)).otherwise(uri)
+    u = F.when(uri.startswith(domain), F.substring(uri, len(domain) + 1, 1 << 20)).otherwise(uri)
     u = F.regexp_replace(u, r"^id/", "")
     u = F.regexp_replace(u, r"/data\.xml$", "")
     u = F.regexp_replace(u, r"/data\.akn$", "")

@@ -40,12 +40,15 @@ def table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COURTS, "code string, court_name string, ncn_pattern string")
 
 
-def from_json(df: DataFrame, column: str = "value") -> DataFrame:
-    """A JSON array of top-level courts with nested courts to one row per court; codes from TNA- on are left out."""
+def from_json(df: DataFrame, column: str = "value", internal: str = "") -> DataFrame:
+    """A JSON array of top-level courts with nested courts to one row per court; codes that begin with
+    `internal`, if given, are left out."""
     court = "struct<code:string,name:string,long_name:string,ncn_pattern:string,identifier_iri:string,start_year:int,end_year:int>"
     top = F.from_json(column, f"array<struct<name:string,courts:array<{court}>>>")
     rows = df.select(F.explode(top).alias("t")).select(F.explode("t.courts").alias("c")).select("c.*")
-    return rows.where("not startswith(upper(code), 'TNA-')").withColumn("court_name", F.coalesce("long_name", "name"))
+    if internal:
+        rows = rows.where(~F.lower("code").startswith(internal.lower()))
+    return rows.withColumn("court_name", F.coalesce("long_name", "name"))
 
 
 def by_code(df: DataFrame, courts: DataFrame, column: str = "court") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import citations as c
 from ..functions import dates as d
+from ..functions.text import DOMAIN
 
 FIELDS = ["court", "year", "number", "cite", "uri", "date", "name"]
 
@@ -58,9 +59,8 @@ def citation(header: Column, cover: Column) -> Column:
     return F.coalesce(c.normalize_citation(header), c.normalize_citation(cover))
 
 
-def uris(short: Column) -> Column:
+def uris(short: Column, base: str = DOMAIN) -> Column:
     """struct(work, expression, manifestation) of a short path."""
-    base = "https://caselaw.nationalarchives.gov.uk/"
     return F.struct(F.concat(F.lit(base + "id/"), short).alias("work"), F.concat(F.lit(base), short).alias("expression"), F.concat(F.lit(base), short, F.lit("/data.xml")).alias("manifestation"))
 
 

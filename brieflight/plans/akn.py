@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from xml.sax.saxutils import escape, quoteattr
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import DOMAIN
+
 NS = "http://docs.oasis-open.org/legaldocml/ns/akn/3.0"
-UK = "https://caselaw.nationalarchives.gov.uk/akn"
+UK = "urn:brieflight:metadata"
 #: Elements inside which no white space is added.
 BLOCK = {"p", "num", "heading", "block", "docTitle", "td", "th"}
 
@@ -25,7 +28,7 @@ def meta_xml(prefix: str = "") -> Column:
     col = lambda n: F.col(prefix + n)
     part = lambda name, c: F.when(c.isNotNull(), F.concat(F.lit(f"<uk:{name}>"), xml_escape(c.cast("string")), F.lit(f"</uk:{name}>"))).otherwise("")
     attr = lambda name, c: F.concat(F.lit(f' {name}="'), xml_escape(c), F.lit('"'))
-    work = F.concat(F.lit("<FRBRWork><FRBRthis"), attr("value", F.concat(F.lit("https://caselaw.nationalarchives.gov.uk/id/"), F.coalesce(col("uri"), F.lit("")))), F.lit("/><FRBRdate"), attr("date", F.coalesce(col("date").cast("string"), F.lit("1000-01-01"))), attr("name", F.coalesce(col("date_name"), F.lit("dummy"))), F.lit("/>"), F.when(col("name").isNotNull(), F.concat(F.lit("<FRBRname"), attr("value", col("name")), F.lit("/>"))).otherwise(""), F.lit("</FRBRWork>"))
+    work = F.concat(F.lit("<FRBRWork><FRBRthis"), attr("value", F.concat(F.lit(DOMAIN + "id/"), F.coalesce(col("uri"), F.lit("")))), F.lit("/><FRBRdate"), attr("date", F.coalesce(col("date").cast("string"), F.lit("1000-01-01"))), attr("name", F.coalesce(col("date_name"), F.lit("dummy"))), F.lit("/>"), F.when(col("name").isNotNull(), F.concat(F.lit("<FRBRname"), attr("value", col("name")), F.lit("/>"))).otherwise(""), F.lit("</FRBRWork>"))
     own = F.concat(F.lit("<proprietary>"), part("court", col("court")), part("year", col("year")), part("number", col("number")), part("cite", col("cite")), F.lit("</proprietary>"))
     return F.concat(F.lit("<meta><identification>"), work, F.lit("</identification>"), own, F.lit("</meta>"))
 
@@ -100,7 +103,7 @@ def extract_metadata(df: DataFrame, column: str = "xml") -> DataFrame:
     plain = F.regexp_replace(F.regexp_replace(F.col(column), r"(</?)\w+:", "$1"), r'\sxmlns(?::\w+)?="[^"]*"', "")
     get = lambda p: F.nullif(F.xpath_string(plain, F.lit(p)), F.lit(""))
     own = "/akomaNtoso/*/meta/proprietary/"
-    uri = F.regexp_replace(get("/akomaNtoso/*/meta/identification/FRBRWork/FRBRthis/@value"), r"^https://caselaw\.nationalarchives\.gov\.uk/(?:id/)?", "")
+    uri = F.regexp_replace(get("/akomaNtoso/*/meta/identification/FRBRWork/FRBRthis/@value"), "^" + re.escape(DOMAIN) + "(?:id/)?", "")
     keep = [c for c in df.columns if c != column]
     uri = F.nullif(uri, F.lit(""))
     return df.select(*keep, uri.alias("uri"), F.nullif(get("/akomaNtoso/*/meta/identification/FRBRWork/FRBRdate/@date"), F.lit("1000-01-01")).alias("date"), get(own + "court").alias("court"), get(own + "cite").alias("cite"), get(own + "year").try_cast("int").alias("year"), get(own + "number").try_cast("int").alias("number"), get("/akomaNtoso/*/meta/identification/FRBRWork/FRBRname/@value").alias("name"))

@@ -114,7 +114,7 @@ def fn_party_id(spark, sf_dir):
 URIS = [(text.DOMAIN + "id/uksc/2023/1",), (text.DOMAIN + "ewhc/ch/2020/5/data.xml",), ("id/eat/2020/1/data.akn",), ("",), (None,), ("d-123",)]
 
 
-@query("SELECT uri, nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(uri, '^https://caselaw\\.nationalarchives\\.gov\\.uk/', ''), '^id/', ''), '/data\\.xml$', ''), '/data\\.akn$', ''), '') AS short FROM " + values_sql(URIS, "uri string"))
+@query("SELECT uri, nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(uri, '^https://caselaw\\.example\\.org/', ''), '^id/', ''), '/data\\.xml$', ''), '/data\\.akn$', ''), '') AS short FROM " + values_sql(URIS, "uri string"))
 def fn_short_uri(spark, sf_dir):
     return values(spark, URIS, "uri string").select("uri", text.short_uri(F.col("uri")).alias("short"))
 
@@ -579,9 +579,9 @@ BILL_OUT = [
 
 @query("SELECT * FROM " + values_sql(BILL_OUT, "node_id int, parent_id int, name string, number string"))
 def t11_bill(spark, sf_dir):
-    from . import lawmaker
+    from . import bills
 
-    return lawmaker.parse(values(spark, BILL, "doc_id int, pos int, number string, text string")).select("node_id", "parent_id", "name", "number")
+    return bills.parse(values(spark, BILL, "doc_id int, pos int, number string, text string")).select("node_id", "parent_id", "name", "number")
 
 
 INDENTS = [(0.0, 0.0, 0), (0.5, -0.5, 1), (0.0, 0.0, 2), (1.0, -0.25, 0), (None, None, 1)]
@@ -744,7 +744,7 @@ def j2_dimension_lookup(spark, sf_dir):
 
 
 REQUESTS = [
-    (1, '{"consignment-reference": "TDR-1", "document-type": "judgment", "metadata": {"uri": "https://caselaw.nationalarchives.gov.uk/id/uksc/2023/1", "cite": "[2023] UKSC 01", "court": "uksc", "date": "2023-01-02", "name": "A v B"}}', "uksc/2023/1", "[2023] UKSC 1", "Judgment", 0),
+    (1, '{"consignment-reference": "TDR-1", "document-type": "judgment", "metadata": {"uri": "https://caselaw.example.org/id/uksc/2023/1", "cite": "[2023] UKSC 01", "court": "uksc", "date": "2023-01-02", "name": "A v B"}}', "uksc/2023/1", "[2023] UKSC 1", "Judgment", 0),
     (2, '{"document-type": "pressSummary", "metadata": {"uri": "uksc/2023/1"}}', "uksc/2023/1", None, "PressSummary", 1),
     (3, '{"document-type": "judgment", "metadata": {"uri": "x y", "cite": "bad", "court": "none", "date": "1/2/2023"}}', "x y", None, "Judgment", 4),
     (4, '{"metadata": {"uri": ""}}', None, None, None, 1),

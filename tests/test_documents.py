@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from brieflight.functions import numbers, text
 from brieflight.operators import courts, enrich, manifest, reconcile, structure, tracking
 from brieflight.operators import sequence as seq
-from brieflight.plans import akn, lawmaker
+from brieflight.plans import akn, bills
 from brieflight.sources import docx, files
 from brieflight.streaming import tracker
 
@@ -150,8 +150,8 @@ def test_statistics(spark):
 
 def test_bill_numbering_and_ids(spark):
     lines = [("1", "Title"), ("(1)", "x"), ("(a)", "y"), ("(i)", "z"), ("(ii)", "w"), ("(b)", "v"), (None, "wrap"), ("(2)", "u"), ("1A", "next"), (None, "SCHEDULES"), (None, "SCHEDULE 1"), ("1", "p")]
-    d = lawmaker.parse(spark.createDataFrame([(1, i, a, b) for i, (a, b) in enumerate(lines)], "doc_id int, pos int, number string, text string"))
-    got = {(r.number, r.name): r for r in lawmaker.provision_ids(d).collect()}
+    d = bills.parse(spark.createDataFrame([(1, i, a, b) for i, (a, b) in enumerate(lines)], "doc_id int, pos int, number string, text string"))
+    got = {(r.number, r.name): r for r in bills.provision_ids(d).collect()}
     assert got[("(ii)", "para2")].eid == "sec_1__subsec_1__para1_a__para2_ii"
     assert got[("1", "schProv1")].eid.endswith("sched_1__para_1")
     assert ("1A", "section") in got
@@ -210,7 +210,7 @@ def test_small_functions(spark):
 
 def test_court_table_and_join(spark):
     courts.parse_patterns()
-    c = courts.from_json(spark.createDataFrame([('[{"name":"t","courts":[{"code":"EAT","name":"E"},{"code":"tna-x","name":"n"}]}]',)], "value string"))
+    c = courts.from_json(spark.createDataFrame([('[{"name":"t","courts":[{"code":"EAT","name":"E"},{"code":"own-x","name":"n"}]}]',)], "value string"), internal="OWN-")
     assert [r.code for r in c.collect()] == ["EAT"]
     rows = spark.createDataFrame([(1, "[2020] EWHC 7 (QB)"), (2, "none")], "id int, citation string")
     assert {(r.id, r.court_code) for r in courts.by_citation(rows, courts.table(spark), ["id"]).collect()} == {(1, "EWHC-KBD"), (2, None)}
@@ -242,9 +242,9 @@ def test_tribunal_split_and_stages(spark):
 def test_bill_header_and_lists(spark):
     lines = [(None, "Thing Bill"), (None, "A Bill to do"), (None, "things."), (None, "Be it enacted by"), ("1", "Section"), (None, "after")]
     b = spark.createDataFrame([(1, i, n, t, 0.0) for i, (n, t) in enumerate(lines)], "doc_id int, pos int, number string, text string, left_in double")
-    assert [r.part for r in lawmaker.header(b).orderBy("pos").collect()] == ["cover", "longTitle", "longTitle", "enacting", "body", "body"]
+    assert [r.part for r in bills.header(b).orderBy("pos").collect()] == ["cover", "longTitle", "longTitle", "enacting", "body", "body"]
     l = spark.createDataFrame([(1, 0, None, "x", 0.0), (1, 1, "(a)", "y", 0.5), (1, 2, None, "more", 0.5), (1, 3, None, "• z", 0.0), (1, 4, None, "end", 0.0)], "doc_id int, pos int, number string, text string, left_in double")
-    assert [(r.list, r.item) for r in lawmaker.block_lists(l).orderBy("pos").collect()] == [(None, None), (1, 1), (1, 1), (1, 2), (None, None)]
+    assert [(r.list, r.item) for r in bills.block_lists(l).orderBy("pos").collect()] == [(None, None), (1, 1), (1, 1), (1, 2), (None, None)]
 
 
 def test_assessment_passes(spark):
