@@ -8,7 +8,8 @@ is confirmed on the full sets.
 A bucket of candidates is not expanded into pairs. In three rounds every class is compared with one other: the smallest
 id of its buckets, then one of another component; these links already join copies of one text. Then only buckets that
 still hold several components are left, and in them the classes outside the bucket's largest component are compared with
-those of other components, each pair in one of its buckets. A pair that shares a bucket is thus compared or already
+those of other components, each pair in one of its buckets and, as many such pairs lie just below the threshold, also by a
+longer signature of one bit each. A pair that shares a bucket is thus compared or already
 connected, so no connection between candidates is lost.
 
 Defined results: a text with fewer words than a shingle is one shingle; a null, empty or blank text has none and is linked
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, saved, small_batches
+from .common import connected_components, saved, small_batches, tasks_for
 
 HASHES, BANDS, BITS = 128, 32, 4
 ROWS = HASHES // BANDS
@@ -35,10 +36,17 @@ LANES = 64 // BITS
 MARGIN = 0.15
 WORDS, PERCENT = 5, 80
 
+#: Bits of the long signature that pairs of the last pass are held against, and the margin for it (4.5 standard deviations).
+LONG, LONG_MARGIN = 4096, 0.042
+#: Rows of a block in the last pass.
+BLOCK = 1024
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 _B = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
+_LONG_A = _rng.integers(0, 2**63, LONG, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+_LONG_B = _rng.integers(0, 2**63, LONG, dtype=np.uint64)
 _BAND = _rng.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 
 
@@ -77,6 +85,15 @@ def packed(best: np.ndarray) -> np.ndarray:
     return (low << (np.arange(LANES, dtype=np.uint64) * np.uint64(BITS))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def long_signature(shingles: np.ndarray) -> np.ndarray:
+    """One bit of each of LONG minima, 64 to a long."""
+    best = np.full(LONG, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(shingles), 64):
+        np.minimum(best, (shingles[i : i + 64, None] * _LONG_A + _LONG_B).min(axis=0), out=best)
+    bits = ((best * _MIX) >> np.uint64(63)).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
 def estimate(a: str, b: str) -> str:
     """SQL for the similarity of two packed signature columns, corrected for lanes that agree by chance."""
     low = int("0001" * LANES, 2)
@@ -122,6 +139,17 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return saved(rows.mapInArrow(run, "id long, shingles binary").dropDuplicates(["id"]), "minhash-sets")
 
 
+def _long(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, long signature of the given classes."""
+
+    def run(batches):
+        for b in batches:
+            made = [long_signature(np.frombuffer(x, dtype=np.uint64)) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.list_(pa.int64()))], ["id", "long"])
+
+    return saved(sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(run, "id long, long array<long>"), "minhash-long")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) those with enough in common: 100 * intersection >= percent * union."""
     spark = pairs.sparkSession
@@ -143,6 +171,73 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         small_batches(spark)
 
 
+def _rest(left: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that the last pass has to confirm: of different components, one of them outside its bucket's largest
+    component, alike by their long signatures. Each pair is given once, by the first of the bands that both share.
+
+    left(key, id, component, major), own(id, n, bands, long). A bucket is dealt out in cells of two blocks of at most about
+    BLOCK rows: blocks outside the largest component against all blocks.
+    """
+
+    def run(batches):
+        for key, side, ids, comp, n, bands, long in _cells(batches):
+            a, b = (np.flatnonzero(~side), np.flatnonzero(side)) if side.any() else (np.arange(len(ids)),) * 2
+            out_a, out_b = [], []
+            for s in range(0, len(a), 32):
+                part = a[s : s + 32]
+                differ = np.bitwise_count(long[part][:, None, :] ^ long[b][None, :, :]).sum(axis=2, dtype=np.int32)
+                near = 1 - 2 * differ / LONG >= percent / 100 - LONG_MARGIN
+                near &= comp[part][:, None] != comp[b][None, :]
+                near &= percent * np.maximum(n[part][:, None], n[b][None, :]) <= 100 * np.minimum(n[part][:, None], n[b][None, :])
+                if a is b or len(a) == len(b) == len(ids):
+                    near &= ids[part][:, None] > ids[b][None, :]
+                i, j = np.nonzero(near)
+                i, j = part[i], b[j]
+                first = (bands[i] == bands[j]).argmax(axis=1)
+                mine = bands[i, first] == key
+                out_a.append(ids[i[mine]]), out_b.append(ids[j[mine]])
+            x, y = np.concatenate(out_a), np.concatenate(out_b)
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
+
+    few = F.col("component") != F.col("major")
+    size = left.groupBy("key").agg(F.ceil(F.count(F.when(few, 1)) / BLOCK).cast("int").alias("few_blocks"), F.ceil(F.count(F.when(~few, 1)) / BLOCK).cast("int").alias("more_blocks"))
+    rows = left.join(size, "key").withColumn("hash", F.xxhash64("id", "key"))
+    rows = rows.withColumn("own", F.when(few, F.pmod("hash", "few_blocks")).otherwise(F.col("few_blocks") + F.pmod("hash", "more_blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(few, F.col("few_blocks") + F.col("more_blocks")).otherwise(F.col("few_blocks")) - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).alias("side"), "id", "component")
+    tasks = tasks_for(left.sparkSession)
+    rows = rows.join(own, "id").select("key", "p", "q", "side", "id", "component", "n", "bands", "long").repartition(tasks, "key", "p", "q").sortWithinPartitions("key", "p", "q")
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _cells(batches):
+    """(key, side, ids, components, sizes, bands, long signatures) of each (key, p, q), from rows sorted by these."""
+    mark, held = None, []
+
+    def out():
+        side, ids, comp, n, bands, long = (np.concatenate(x) for x in zip(*held))
+        return mark[0], side, ids, comp, n, bands.reshape(len(ids), BANDS), long.reshape(len(ids), LONG // 64)
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k, p, q = (np.asarray(b.column(i)) for i in range(3))
+        side, ids, comp, n = (np.asarray(b.column(i)) for i in range(3, 7))
+        bands, long = (np.asarray(b.column(i).flatten()) for i in (7, 8))
+        long = long.view(np.uint64)  # bits are counted, so there is no sign
+        cuts = np.flatnonzero((k[1:] != k[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1
+        for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(k)]):
+            now = (k[s], p[s], q[s])
+            if held and now != mark:
+                yield out()
+                held = []
+            mark = now
+            held.append((side[s:e], ids[s:e], comp[s:e], n[s:e], bands[s * BANDS : e * BANDS], long[s * (LONG // 64) : e * (LONG // 64)]))
+    if held:
+        yield out()
+
+
 def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
     """key, id, component of each entry."""
     return members.select("key", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
@@ -179,13 +274,9 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     placed = _placed(members, found)
     shares = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
     mixed = shares.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("top.component").alias("major"))
-    inside = saved(placed.join(mixed, "key").join(sig, "id").select("key", "id", "component", "major", "n", "signature", "bands"), "minhash-inside")
-    few = inside.where("component <> major").select("key", F.col("id").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("signature").alias("sig_a"), F.col("bands").alias("bands_a"))
-    all_ = inside.select("key", F.col("id").alias("b"), F.col("component").alias("c_b"), "major", F.col("n").alias("n_b"), F.col("signature").alias("sig_b"), F.col("bands").alias("bands_b"))
-    # a pair is taken in the smallest of the buckets that both are in
-    once = f"c_a <> c_b and (c_b = major or a > b) and {alike} and key = array_min(array_intersect(bands_a, bands_b))"
-    rest = few.join(all_, "key").where(once).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = _confirmed(saved(rest, "minhash-rest"), sets, percent)
+    left = saved(placed.join(mixed, "key"), "minhash-left")
+    own = sig.select("id", "n", "bands").join(_long(sets, left.select("id").distinct()), "id")
+    more = _confirmed(saved(_rest(left, own, percent), "minhash-rest"), sets, percent)
     if not more.isEmpty():
         found = connected_components(links.unionAll(more))
     of_class = classes.select("set_key", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
