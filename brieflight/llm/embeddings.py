@@ -192,8 +192,9 @@ def _to_first(members: DataFrame, classes: DataFrame, cosine: float) -> DataFram
 
 def _unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
     """Without buckets of more than BLOCK that lie within one component already."""
-    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
-    done = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("p"), F.max("c").alias("q")).where((F.col("n") > BLOCK) & (F.col("p") == F.col("q"))).select("key")
+    large = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("key")
+    placed = members.join(large, "key").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
+    done = placed.groupBy("key").agg(F.min("c").alias("p"), F.max("c").alias("q")).where("p = q").select("key")
     return members.join(done, "key", "left_anti")
 
 
