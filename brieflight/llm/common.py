@@ -29,6 +29,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete a table that saved() wrote and nothing reads any more, and let Spark drop the shuffles of what was read from it."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of whole texts stay small, however long the texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

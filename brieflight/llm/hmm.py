@@ -1,18 +1,21 @@
 """LM scoring by a hidden Markov language model.
 
-Words are counted over all training documents. The most frequent OWN words, with the end mark, have emissions of their
-own; all others share FORMS classes by their form (a hash of their first two and last three bytes), and within a class
-a word has its smoothed share of the class, the same in all states. So the table of emissions has a fixed size, however
-many words there are, and the likelihood of a sequence is still exact: that of the class sequence by the scaled forward
-recursion, times the words' shares of their classes.
-
-Training is Baum-Welch: each task runs forward and backward over segments of SEGMENT tokens of all training documents and
-returns expected counts, which are summed over tasks by class before the driver sees them. The first emissions are
-those of STATES - 1 documents that differ most among SEEDS hashed ones, mixed with the whole corpus; this only
-breaks the symmetry, all counts then come from all training documents.
-
-Counts of rare words are joined, not sent: only words above a count that at most HEAD words have are broadcast. The rest
-occur seldom, so no key of that join is hot.
+Words are counted over all training documents, and every counted word has emissions of its own in each state. A word's
+emission in a state is that of its class times its share of the class there. The most frequent OWN words, with the end mark,
+are classes of one word; all others are in FORMS classes by their form (a hash of their first two and last three bytes).
+Classes only smooth: a word's share of its class in a state is (c + WITHIN * s) / (C + WITHIN), where c and C are the
+expected counts of the word and its class in the state and s is the word's smoothed share of the class over all states. Words
+that were never counted have what s leaves for them. So the emissions grow with the vocabulary and sum to one in each state.
+
+Training is Baum-Welch: documents are packed into blocks of about BLOCK tokens, with a vocabulary for each block. Tasks run
+forward and backward over segments of SEGMENT tokens of all training documents and return expected counts of words. The
+first emissions are those of STATES - 1 documents that differ most among SEEDS hashed ones, mixed with the whole corpus; this
+only breaks the symmetry, all counts then come from all training documents.
+
+Counts of words above a count that at most HEAD words have go by the driver, which broadcasts their emissions. All others,
+however many, stay in the cluster: each block sends its counts of them by PART of the vocabulary (a hash of the word), where
+they are summed and sent back to the blocks that hold the word. Such words occur seldom, so no part is hot, and the number of
+parts follows the tokens.
 
 Defined results: a null text is an empty one, which is one end mark; a null doc_id counts as the empty text for the
 split; equal rows get equal scores; without training documents the model is uniform over classes; an empty table gives no
@@ -22,22 +25,27 @@ rows; only doc_id and text are read.
 from __future__ import annotations
 
 import itertools
-import math
+import uuid
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small_batches
+from .common import forget, saved, shared_dir, small_batches, tasks_for
 
 STATES, OWN, FORMS, HEAD = 8, 8192, 16384, 1 << 18
 ITERATIONS, SEGMENT, LANES, SEEDS = 3, 128, 1024, 512
 #: Smoothing: of a word within its class (and in the base), of each state's emissions by tokens of the whole corpus, of
 #: state changes.
 ALPHA, EMIT, MOVE = 0.1, 500.0, 1.0
+#: Tokens of its class in a state that a word's share over all states counts for.
+WITHIN = 5.0
+#: Tokens in a block of documents, and tokens of words outside the head in a part of the vocabulary.
+BLOCK, PART = 1 << 19, 200_000
 CLASSES = OWN + FORMS
 #: Tokens that a task scores at a time.
 HOLD = 3_000_000
@@ -95,13 +103,10 @@ class Lexicon:
         self.class_tokens, self.class_words = class_tokens, class_words
 
     def prepare(self) -> None:
-        """In a worker: a number, class, and log10 shares for each head word."""
+        """A number, class, and log10 share for each head word."""
         self.number = {w: i for i, w in enumerate(self.words)}
         self.classes = np.array([i if i < OWN else form(w) for i, w in enumerate(self.words)], dtype=np.int32)
         self.base = np.log10((self.counts + ALPHA) / self.whole)
-        within = np.log10((self.counts + ALPHA) / self.class_size(self.classes))
-        within[self.classes < OWN] = 0.0
-        self.within = within
 
     @property
     def whole(self) -> float:
@@ -111,7 +116,6 @@ class Lexicon:
         return self.class_tokens[classes] + ALPHA * (self.class_words[classes] + 1)
 
 
-
 def _lexicon(sent) -> Lexicon:
     """Once for each Python worker."""
     found = sent.value
@@ -149,33 +153,118 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
     return Lexicon([w for _, w in order], [n for n, _ in order], int(whole.tokens or 0), int(whole.words or 0), tokens, words), least
 
 
-def encoded(docs: DataFrame, sent) -> DataFrame:
-    """row (a number of its own), doc_id, held_out, n_tokens, head sums, classes as 16-bit numbers, and words outside the head."""
+def _packed(docs: DataFrame, sent, parts: int) -> DataFrame:
+    """Blocks of documents: their ids, held_out and sizes, tokens as places in the block's vocabulary (words of the head, by
+    number, then the others, by part), and the other words with their parts and counts in training documents."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        x = _lexicon(sent)
-        number, classes, base, within, have = x.number.get, x.classes, x.base, x.within, x.counts > 0
+        number = _lexicon(sent).number.get
         at = itertools.count(TaskContext.get().partitionId() << 36)
+        ids, held, codes, words, size = [], [], [], {}, 0
+
+        def out():
+            of = np.array([zlib.crc32(w) % parts for w in words], dtype=np.int64)
+            order = np.argsort(of, kind="stable")
+            rank = np.empty(len(of), dtype=np.int64)
+            rank[order] = np.arange(len(of))
+            flat = np.concatenate(codes)
+            head, place = np.unique(flat[flat >= 0], return_inverse=True)
+            local = np.empty(len(flat), dtype=np.uint32)
+            local[flat >= 0] = place
+            local[flat < 0] = len(head) + rank[-1 - flat[flat < 0]]
+            sizes = np.array([len(c) for c in codes])
+            n = np.bincount(local[np.repeat(~np.array(held, dtype=bool), sizes)], minlength=len(head) + len(of))[len(head) :]
+            listed = list(words)
+            row = [next(at), ids, held, sizes.tolist(), local.tobytes(), head.astype(np.int32).tobytes(), [listed[i] for i in order.tolist()], of[order].tolist(), n.tolist()]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["block", "ids", "held", "sizes", "codes", "head", "words", "parts", "n"])
+
         for b in batches:
-            out = []
-            for text in b.column(2).to_pylist():
+            for i, out_of, text in zip(*(b.column(k).to_pylist() for k in range(3))):
                 tokens = _tokens(text)
                 found = np.fromiter((number(t, -1) for t in tokens), dtype=np.int64, count=len(tokens))
-                rare = np.flatnonzero(found < 0)
-                code = classes[found]
-                found = found[found >= 0]
-                words = [tokens[i] for i in rare.tolist()]
-                if words:
-                    code[rare] = [form(w) for w in words]
-                of = Counter(words)
-                out.append((next(at), len(tokens), int(have[found].sum()), float(base[found].sum()), float(within[found].sum()), code.astype(np.uint16).tobytes(), list(of), list(of.values())))
-            columns = list(zip(*out)) if out else [[]] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(list(c), k) for c, k in zip(columns, kinds))], ["doc_id", "held_out", "row", "n_tokens", "known", "base", "within", "codes", "rare", "times"])
+                for k in np.flatnonzero(found < 0).tolist():
+                    found[k] = -1 - words.setdefault(tokens[k], len(words))
+                ids.append(i), held.append(out_of), codes.append(found)
+                size += len(found)
+                if size >= BLOCK:
+                    yield out()
+                    ids, held, codes, words, size = [], [], [], {}, 0
+        if ids:
+            yield out()
+
+    return _split(docs).mapInArrow(run, "block long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, head binary, words array<binary>, parts array<int>, n array<long>")
+
+
+def _by_part(rows: DataFrame, work, schema: str) -> DataFrame:
+    """work(columns of the rows of one part) for each part; the first column is the part."""
+
+    def run(batches):
+        held, mark = [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            part = np.asarray(b.column(0))
+            cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)]):
+                if held and part[s] != mark:
+                    yield work(pa.Table.from_batches(held))
+                    held = []
+                mark = part[s]
+                held.append(b.slice(s, e - s))
+        if held:
+            yield work(pa.Table.from_batches(held))
+
+    return rows.repartition(tasks_for(rows.sparkSession), "part").sortWithinPartitions("part").mapInArrow(run, schema)
+
+
+def _slices(parts: list[int]):
+    """(part, start, end) in a sorted list of parts."""
+    p = np.asarray(parts, dtype=np.int64)
+    cuts = np.flatnonzero(p[1:] != p[:-1]) + 1
+    return [(int(p[s]), s, e) for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(p)])] if len(p) else []
+
+
+def _numbered(blocks: DataFrame) -> DataFrame:
+    """block, part, number (of each word in its part), n (its count in all training documents)."""
+
+    def cut(batches):
+        for b in batches:
+            for block, words, parts, n in zip(*(b.column(k).to_pylist() for k in range(4))):
+                found = _slices(parts)
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _, _ in found], pa.int32()), pa.array([block] * len(found), pa.int64()), pa.array([words[s:e] for _, s, e in found], pa.list_(pa.binary())), pa.array([n[s:e] for _, s, e in found], pa.list_(pa.int64()))], ["part", "block", "words", "n"])
+
+    def work(t):
+        words, n = t.column("words").combine_chunks(), t.column("n").combine_chunks()
+        sizes = pc.list_value_length(words).to_numpy()
+        number = pc.dictionary_encode(words.flatten()).indices.to_numpy()
+        whole = np.bincount(number, n.flatten().to_numpy()).astype(np.int64)[number]
+        ends = np.cumsum(sizes)[:-1]
+        pack = lambda x: pa.array([y.tobytes() for y in np.split(x, ends)], pa.binary())
+        return pa.RecordBatch.from_arrays([t.column("block").combine_chunks(), t.column("part").combine_chunks(), pack(number.astype(np.int32)), pack(whole)], ["block", "part", "number", "n"])
+
+    rows = blocks.select("block", "words", "parts", "n").mapInArrow(cut, "part int, block long, words array<binary>, n array<long>")
+    return _by_part(rows, work, "block long, part int, number binary, n binary")
 
-    return _split(docs).mapInArrow(run, "doc_id long, held_out boolean, row long, n_tokens long, known long, base double, within double, codes binary, rare array<binary>, times array<long>")
+
+def _gathered(rows: DataFrame, *columns: str) -> DataFrame:
+    """block, found: what the parts sent back to each block, in the order of parts."""
+    return rows.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", *columns))).alias("found"))
+
+
+def encoded(docs: DataFrame, sent, parts: int) -> DataFrame:
+    """Blocks, with numbers and whole counts of their words outside the head, kept by block so that no round moves them."""
+    spark = docs.sparkSession
+    blocks = saved(_packed(docs, sent, parts), "packed")
+    got = _gathered(_numbered(blocks), "number", "n").withColumnRenamed("found", "tail")
+    buckets = max(1, min(tasks_for(spark), blocks.count() // 3))
+    out = blocks.withColumn("forms", F.expr(f"transform(words, w -> cast({form_sql('w')} as int))")).drop("words", "n").join(got, "block", "left").repartition(buckets, "block")
+    name = "hmm_" + uuid.uuid4().hex
+    out.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/brieflight/{name}").bucketBy(buckets, "block").saveAsTable(name)
+    forget(blocks)
+    return spark.table(name)
 
 
 class Hmm:
@@ -214,7 +303,7 @@ class Hmm:
             now /= scale[:, None]
             product *= scale
             steps += 1
-            if steps % 16 == 0:  # before the product can underflow
+            if steps % 8 == 0:  # before the product can underflow
                 total[:active] += np.log10(product)
                 product = np.ones(active)
             ahead = now @ self.move
@@ -249,7 +338,7 @@ class Hmm:
         ahead *= mask.T[:, :, None]
         flat = codes.T.ravel()
         weights = ahead.reshape(-1, STATES)
-        counts = np.stack([np.bincount(flat, weights[:, k], minlength=CLASSES) for k in range(STATES)], axis=1)
+        counts = np.stack([np.bincount(flat, weights[:, k], minlength=len(self.emit)) for k in range(STATES)], axis=1)
         return ahead[0][begins].sum(axis=0), move * self.move, counts
 
     @property
@@ -261,71 +350,122 @@ class Hmm:
         return p / p.sum()
 
 
-def _e_step(rows: DataFrame, model: Hmm):
-    """Expected counts over all training rows, summed by class before they come to the driver."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+class Trained:
+    """A model over classes with expected counts of classes (class, state) and emissions of head words (word, state)."""
+
+    def __init__(self, model: Hmm, x: Lexicon, counts: np.ndarray, head: np.ndarray):
+        """counts: of classes; head: of head words."""
+        self.model, self.counts, self.sizes = model, counts, x.class_size(np.arange(CLASSES))
+        own = x.classes < OWN
+        emit = self.emission(x.classes, x.counts, head)
+        emit[own] = model.emit[x.classes[own]]
+        self.head = emit.astype(np.float32)
+
+    def emission(self, classes: np.ndarray, n: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Emissions (word, state) of words of shared classes with n tokens and these expected counts."""
+        share = (n + ALPHA) / self.sizes[classes]
+        return self.model.emit[classes] * (counts + WITHIN * share[:, None]) / (self.counts[classes] + WITHIN)
+
+
+class Block:
+    """A block as a task reads it, with emissions of its vocabulary."""
+
+    columns = ("block", "ids", "held", "sizes", "codes", "head", "forms", "tail", "found")
+
+    def __init__(self, row: dict, m: Trained, kind):
+        self.block, self.ids, self.held = row["block"], row["ids"], row["held"]
+        self.head = np.frombuffer(row["head"], dtype=np.int32)
+        tail = row["tail"] or []
+        self.parts = [(t["part"], t["number"]) for t in tail]
+        self.n = np.concatenate([np.frombuffer(t["n"], dtype=np.int64) for t in tail]) if tail else np.zeros(0, dtype=np.int64)
+        if row["found"]:
+            counts = np.concatenate([np.frombuffer(t["v"], dtype=kind) for t in row["found"]]).reshape(-1, STATES).astype(float)
+        else:
+            counts = np.zeros((len(self.n), STATES))
+        self.emit = np.concatenate([m.head[self.head].astype(float), m.emission(np.array(row["forms"], dtype=np.int64), self.n, counts)])
+        self.forms = np.array(row["forms"], dtype=np.int64)
+        self.texts = np.split(np.frombuffer(row["codes"], dtype=np.uint32), np.cumsum(row["sizes"])[:-1])
+
+
+def _blocks(batches, m: Trained, kind):
+    for b in batches:
+        for row in b.to_pylist():
+            yield Block(row, m, kind)
+
+
+def _with_counts(blocks: DataFrame, sums: DataFrame | None) -> DataFrame:
+    if sums is None:
+        return blocks.withColumn("found", F.lit(None).cast("array<struct<part:int,v:binary>>")).select(*Block.columns)
+    return blocks.join(sums, "block", "left").select(*Block.columns)
+
+
+def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind):
+    """Expected counts over all training documents: first, move, words of the head, classes of the others, and the counts of
+    the others by block, with the table that they are read from."""
+    spark = blocks.sparkSession
+    sent = spark.sparkContext.broadcast(model)
+    heads = len(model.head)
+    states = [f"s{k}" for k in range(STATES)]
 
     def run(batches):
         m = sent.value
-        first, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
-        held, begins = [], []
-
-        def work():
-            nonlocal first, move, emit
-            lengths = np.array([len(h) for h in held])
-            codes = np.zeros((len(held), int(lengths.max())), dtype=np.int64)
-            codes[np.arange(codes.shape[1])[None, :] < lengths[:, None]] = np.concatenate(held)
-            a, b, c = m.expected(codes, lengths, np.array(begins))
-            first, move, emit = first + a, move + b, emit + c
-            held.clear(), begins.clear()
-
-        short: list = []
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                codes = np.frombuffer(raw, dtype=np.uint16)
-                for s in range(0, len(codes), SEGMENT):
-                    part = codes[s : s + SEGMENT]
-                    if len(part) == SEGMENT:
-                        held.append(part), begins.append(s == 0)
-                        if len(held) == LANES:
-                            work()
-                    else:
-                        short.append((len(part), s == 0, part))
-            if len(short) > 8 * LANES:
-                if held:
-                    work()
-                short.sort(key=lambda x: x[0])
-                for s in range(0, len(short), LANES):
-                    for _, began, part in short[s : s + LANES]:
-                        held.append(part), begins.append(began)
-                    work()
-                short.clear()
-        if held:
-            work()
-        short.sort(key=lambda x: x[0])
-        for s in range(0, len(short), LANES):
-            for _, began, part in short[s : s + LANES]:
-                held.append(part), begins.append(began)
-            work()
-        used = np.flatnonzero(emit.sum(axis=1) > 0)
-        # classes, then the state changes and the first states under numbers of their own
-        key = np.concatenate([used, CLASSES + np.arange(STATES + 1)])
-        value = np.concatenate([emit[used], move, first[None, :]])
-        yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), *(pa.array(value[:, k], pa.float64()) for k in range(STATES))], ["key", *(f"s{k}" for k in range(STATES))])
-
-    out = rows.where("not held_out").select("codes").mapInArrow(run, "key long, " + ", ".join(f"s{k} double" for k in range(STATES)))
-    table = out.groupBy("key").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(STATES))).toArrow()
-    whole = np.zeros((CLASSES + STATES + 1, STATES))
-    whole[np.asarray(table.column("key"))] = np.stack([np.asarray(table.column(f"s{k}")) for k in range(STATES)], axis=1)
-    return whole[-1], whole[CLASSES:-1], whole[:CLASSES]
-
-
-def _seeded(rows: DataFrame, corpus: np.ndarray) -> Hmm:
+        first, move = np.zeros(STATES), np.zeros((STATES, STATES))
+        head, forms = np.zeros((heads, STATES)), np.zeros((CLASSES, STATES))
+        for x in _blocks(batches, m, kind):
+            local = Hmm(m.model.first, m.model.move, x.emit)
+            counts = np.zeros_like(x.emit)
+            parts = [(len(t[s : s + SEGMENT]), s == 0, t[s : s + SEGMENT]) for t, out in zip(x.texts, x.held) if not out for s in range(0, len(t), SEGMENT)]
+            parts.sort(key=lambda p: p[0])
+            for s in range(0, len(parts), LANES):
+                some = parts[s : s + LANES]
+                lengths = np.array([p[0] for p in some])
+                codes = np.zeros((len(some), int(lengths.max())), dtype=np.int64)
+                codes[np.arange(codes.shape[1])[None, :] < lengths[:, None]] = np.concatenate([p[2] for p in some])
+                a, b, c = local.expected(codes, lengths, np.array([p[1] for p in some]))
+                first, move, counts = first + a, move + b, counts + c
+            head[x.head] += counts[: len(x.head)]
+            tail = counts[len(x.head) :]
+            for k in range(STATES):
+                forms[:, k] += np.bincount(x.forms, tail[:, k], minlength=CLASSES)
+            tail, at = tail.astype(kind), 0
+            rows = []
+            for part, number in x.parts:
+                n = len(number) // 4
+                rows.append(tail[at : at + n].tobytes())
+                at += n
+            k = len(rows)
+            columns = [pa.nulls(k, pa.int32()), *[pa.nulls(k, pa.float32())] * STATES, pa.array([p for p, _ in x.parts], pa.int32()), pa.array([x.block] * k, pa.int64()), pa.array([i for _, i in x.parts], pa.binary()), pa.array(rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", *states, "part", "block", "number", "v"])
+        # words of the head, classes of the others, then the state changes and the first states under numbers of their own
+        whole = np.concatenate([head, forms, move, first[None, :]])
+        key = np.flatnonzero(whole.any(axis=1))
+        k = len(key)
+        columns = [pa.array(key, pa.int32()), *(pa.array(whole[key, i], pa.float32()) for i in range(STATES)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["key", *states, "part", "block", "number", "v"])
+
+    def work(t):
+        number = np.concatenate([np.frombuffer(x, dtype=np.int32) for x in t.column("number").to_pylist()])
+        v = np.concatenate([np.frombuffer(x, dtype=kind) for x in t.column("v").to_pylist()]).reshape(-1, STATES).astype(float)
+        sums = np.stack([np.bincount(number, v[:, k]) for k in range(STATES)], axis=1)[number].astype(kind)
+        ends = np.cumsum([len(x) // 4 for x in t.column("number").to_pylist()])[:-1]
+        return pa.RecordBatch.from_arrays([t.column("block").combine_chunks(), t.column("part").combine_chunks(), pa.array([y.tobytes() for y in np.split(sums, ends)], pa.binary())], ["block", "part", "v"])
+
+    schema = "key int, " + ", ".join(f"{s} float" for s in states) + ", part int, block long, number binary, v binary"
+    out = saved(_with_counts(blocks, sums).mapInArrow(run, schema), "e-step")
+    table = out.where("key is not null").groupBy("key").agg(*(F.sum(s).alias(s) for s in states)).toArrow()
+    whole = np.zeros((heads + CLASSES + STATES + 1, STATES))
+    whole[np.asarray(table.column("key"))] = np.stack([np.asarray(table.column(s)) for s in states], axis=1)
+    sums = _gathered(_by_part(out.where("part is not null").select("part", "block", "number", "v"), work, "block long, part int, v binary"), "v")
+    return whole[-1], whole[heads + CLASSES : -1], whole[:heads], whole[heads : heads + CLASSES], sums, out
+
+
+def _seeded(docs: DataFrame, x: Lexicon, corpus: np.ndarray) -> Hmm:
     """A first model: states lean to documents that differ most from one another, found among SEEDS of them."""
-    parts = rows.where("not held_out").orderBy(F.xxhash64("doc_id", "n_tokens"), "row").limit(SEEDS).select("codes").collect()
+    parts = _split(docs).where("not held_out").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "doc_id").limit(SEEDS).select("text").collect()
     shares = []
     for r in parts:
-        c = np.bincount(np.frombuffer(bytes(r.codes), dtype=np.uint16), minlength=CLASSES).astype(float)
+        codes = [x.classes[i] if (i := x.number.get(t, -1)) >= 0 else form(t) for t in _tokens(bytes(r.text) if r.text is not None else None)]
+        c = np.bincount(codes, minlength=CLASSES).astype(np.float32)
         shares.append(c / c.sum())
     emit = np.tile(corpus[:, None], (1, STATES))
     if shares:
@@ -344,62 +484,66 @@ def _seeded(rows: DataFrame, corpus: np.ndarray) -> Hmm:
     return Hmm(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
 
 
-def train(rows: DataFrame, x: Lexicon, iterations: int = ITERATIONS) -> Hmm:
+def train(docs: DataFrame, blocks: DataFrame, x: Lexicon, kind, iterations: int = ITERATIONS) -> tuple[Trained, DataFrame | None]:
+    """The model, and the counts of words outside the head by block."""
     corpus = x.class_tokens + ALPHA / CLASSES
     corpus = corpus / corpus.sum()
-    model = _seeded(rows, corpus)
+    model = Trained(_seeded(docs, x, corpus), x, np.zeros((CLASSES, STATES)), np.zeros((len(x.words), STATES)))
+    sums, table = None, None
     for _ in range(iterations):
-        first, move, emit = _e_step(rows, model)
-        model = Hmm.of_counts(first, move, emit, corpus)
-    return model
+        first, move, head, classes, sums, now = _e_step(blocks, sums, model, kind)
+        if table is not None:
+            forget(table)
+        table = now
+        for k in range(STATES):
+            classes[:, k] += np.bincount(x.classes, head[:, k], minlength=CLASSES)
+        model = Trained(Hmm.of_counts(first, move, classes, corpus), x, classes, head)
+    return model, sums
 
 
-def _scored(rows: DataFrame, model: Hmm) -> DataFrame:
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+def _scored(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind, lexicon_sent) -> DataFrame:
+    sent = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = sent.value
-        ids, held, size = [], [], 0
+        m, x = sent.value, _lexicon(lexicon_sent)
+        held, size = [], 0
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(m.log10(held), pa.float64())], ["row", "of_classes"])
-
-        for b in batches:
-            for row, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids.append(row), held.append(np.frombuffer(raw, dtype=np.uint16))
-                size += len(held[-1])
-                if size > HOLD:
-                    yield out()
-                    ids, held, size = [], [], 0
-        if ids:
+            at = np.cumsum([0, *(len(h.emit) for h in held)])
+            whole = Hmm(m.model.first, m.model.move, np.concatenate([h.emit for h in held]))
+            n = np.concatenate([np.concatenate([x.counts[h.head], h.n]) for h in held])
+            base = np.log10((n + ALPHA) / x.whole)
+            texts = [t + np.int64(a) for a, h in zip(at, held) for t in h.texts]
+            score = whole.log10(texts)
+            ids, flags = [i for h in held for i in h.ids], [o for h in held for o in h.held]
+            columns = [pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), pa.array([len(t) for t in texts], pa.int64()), pa.array([int((n[t] > 0).sum()) for t in texts], pa.int64()), pa.array([float(base[t].sum()) for t in texts], pa.float64()), pa.array(score, pa.float64())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+        for h in _blocks(batches, m, kind):
+            held.append(h)
+            size += sum(len(t) for t in h.texts)
+            if size > HOLD:
+                yield out()
+                held, size = [], 0
+        if held:
             yield out()
 
-    return rows.select("row", "codes").mapInArrow(run, "row long, of_classes double")
+    return _with_counts(blocks, sums).mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
 def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
     spark = docs.sparkSession
     small_batches(spark)
-    counts = saved(word_counts(docs), "word-counts")
-    x, least = lexicon(counts)
-    rows = saved(encoded(docs, spark.sparkContext.broadcast(x)), "encoded")
-    model = train(rows, x, iterations)
-    # words outside the head: their counts are joined, their share of the class is found from its size
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
-    tail = counts.where(F.col("n") < least).withColumnRenamed("word", "w")
-    sizes = spark.createDataFrame([(int(c), float(math.log10(s))) for c, s in enumerate(x.class_size(np.arange(CLASSES)))], "c int, size double")
-    n = F.coalesce("n", F.lit(0))
-    share = F.log10(n + ALPHA)
-    found = rare.join(tail, rare.word == tail.w, "left").withColumn("c", F.expr(form_sql("word")).cast("int")).join(F.broadcast(sizes), "c")
-    of_row = found.groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known_"), F.sum(F.col("times") * (share - math.log10(x.whole))).alias("base_"), F.sum(F.col("times") * (share - F.col("size"))).alias("within_")
-    )
-    out = rows.select("row", "doc_id", "held_out", "n_tokens", "known", "base", "within").join(_scored(rows, model), "row").join(of_row, "row", "left")
-    plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
-    return out.select(
-        "doc_id", "held_out", "n_tokens", plus("known", "known_").cast("long").alias("n_known"), F.lit(x.tokens).cast("long").alias("train_tokens"), plus("base", "base_").alias("base_score"), (plus("within", "within_") + F.col("of_classes")).alias("score")
-    )
+    x, least = lexicon(saved(word_counts(docs), "word-counts"))
+    sent = spark.sparkContext.broadcast(x)
+    x.prepare()
+    blocks = encoded(docs, sent, 1 + int(x.tokens - x.counts.sum()) // PART)
+    # counts of a word outside the head are below `least`: half precision is within one part in 2,000 of each, unless they are large
+    kind = np.float16 if least < 2048 else np.float32
+    model, sums = train(docs, blocks, x, kind, iterations)
+    out = _scored(blocks, sums, model, kind, sent)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(x.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op1(spark, sf_dir) -> DataFrame:

@@ -188,6 +188,23 @@ def test_scores_over_documents(spark):
     assert hmm.score_documents(df.where("doc_id < 0")).count() == 0
 
 
+def test_words_outside_the_most_frequent_have_emissions_of_their_own(spark):
+    """Two rare words of one form and equal counts, each in one half of the documents: only their own emissions tell them apart."""
+    texts = ["apple abxcde", "zebra abycde"]
+    out = [i for i in range(9000, 9999) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    rows = [(i, " ".join([texts[i % 2]] * 15)) for i in range(400) if zlib.crc32(str(i).encode()) % 10] + [(out[0], "apple abxcde " * 10), (out[1], "apple abycde " * 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    own, head = hmm.OWN, hmm.HEAD
+    hmm.OWN, gaps = 1, []
+    try:
+        for hmm.HEAD in (head, 2):  # by the driver, and by parts of the vocabulary
+            got = {x.doc_id: x.score for x in hmm.score_documents(df).collect()}
+            gaps.append(got[out[0]] - got[out[1]])
+    finally:
+        hmm.OWN, hmm.HEAD = own, head
+    assert min(gaps) > 3 and abs(gaps[0] - gaps[1]) < 0.05 * gaps[0]
+
+
 # chat
 
 
