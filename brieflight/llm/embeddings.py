@@ -13,8 +13,8 @@ none with probability MISS at most. (Pairs in one component are counted even whe
 
 Defined results: a vector that is null, empty or zero, or holds null or non-finite components, has no links and is its own
 component; vectors of different lengths are never linked; a null vec_id is linked with nothing and kept; rows that repeat
-a vec_id with the same vector are counted as vectors of their own, and of different vectors under one vec_id the first in
-order is used; an empty table gives no rows; only vec_id and embedding are read.
+a vec_id are counted as vectors of their own, each with the links of its vector, and share one component; an empty table
+gives no rows; only vec_id and embedding are read.
 """
 
 from __future__ import annotations
@@ -204,18 +204,22 @@ def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     small_batches(spark)
     rows = saved(_units(vectors), "vectors")
     real = rows.where("unit is not null and id is not null")
-    # if a vec_id stands for several vectors, the smallest of them stands for the rest in components
-    classes = real.groupBy("unit").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
-    classes = saved(classes.groupBy("id").agg(F.min(F.struct("unit", "weight")).alias("c")).select("id", F.col("c.unit").alias("unit"), F.col("c.weight").alias("weight")), "vector-classes")
+    # each vector is a class with a number of its own; classes under one vec_id are tied, so that it has one component
+    classes = saved(real.groupBy("unit").agg(F.min("id").alias("first"), F.count("*").alias("weight")).withColumn("id", F.monotonically_increasing_id()), "vector-classes")
+    several = real.groupBy("id").agg(F.min("unit").alias("low"), F.max("unit").alias("high")).where("low <> high").select(F.col("id").alias("vec"))
+    ties = real.join(several, real.id == several.vec, "left_semi").select(F.col("id").alias("vec"), "unit").distinct().join(classes, "unit").select("vec", F.col("id").alias("a"))
+    ties = saved(ties.join(ties.groupBy("vec").agg(F.min("a").alias("b")), "vec").where("a <> b").select("a", "b"), "vector-ties")
     members = saved(_keys(classes, *plan(classes.count(), cosine)), "vector-keys")
     stars = saved(_to_first(members, classes, cosine), "vector-stars")
     left = members if stars.isEmpty() else saved(_unsettled(members, connected_components(stars)), "vector-left")
-    edges = saved(_compared(_in_blocks(left, "key"), classes, cosine, False).unionAll(stars).distinct(), "vector-edges")
+    edges = saved(_compared(_in_blocks(left, "key"), classes, cosine, False).unionAll(stars).unionAll(ties).distinct(), "vector-edges")
     found = saved(connected_components(edges), "vector-components")
     inside = found.select(F.col("component").alias("key"), F.col("node").alias("id"))
     counts = _compared(_in_blocks(inside, "key"), classes, cosine, True).groupBy("a").agg(F.sum("b").alias("others")).withColumnRenamed("a", "id")
-    of_class = classes.join(found.withColumnRenamed("node", "id"), "id", "left").join(counts, "id", "left")
-    of_class = of_class.select("unit", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    placed = classes.join(found.withColumnRenamed("node", "id"), "id", "left")
+    least = placed.where("component is not null").groupBy("component").agg(F.min("first").alias("least"))
+    of_class = placed.join(counts, "id", "left").join(least, "component", "left")
+    of_class = of_class.select("unit", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("least", "first").alias("component"))
     out = rows.withColumn("known", F.when(F.col("id").isNotNull(), F.col("unit"))).join(of_class.withColumnRenamed("unit", "known"), "known", "left")
     out = out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

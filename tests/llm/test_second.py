@@ -116,6 +116,12 @@ def test_embeddings(spark):
     assert embeddings.links(df.where("vec_id < 0")).count() == 0
 
 
+def test_no_vector_is_dropped_where_a_vec_id_has_several(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (5, [0.0, 1.0]), (6, [0.0, 1.0]), (7, [1.0, 0.0]), (9, [-1.0, 0.0])]
+    got = sorted((x.vec_id, x.n_links, x.component_id, x.kept) for x in embeddings.links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (5, 2, 1, False), (6, 2, 1, False), (7, 1, 1, False), (9, 0, 9, True)]
+
+
 def test_plan_meets_its_promise():
     for n in (10, 1000, 10**6):
         k, tables = embeddings.plan(n)
