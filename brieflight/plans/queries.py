@@ -564,7 +564,14 @@ def t1_to_t7_divisions(spark, sf_dir):
 def t1_documents_to_divisions(spark, sf_dir):
     """All turns of conversations as blocks of a body: each becomes one division."""
     b = turns(spark, sf_dir).withColumn("number", F.concat((F.col("pos") + 1).cast("string"), F.lit("."))).withColumn("indent", F.lit(0.0))
-    return structure.build(b.withColumn("text", F.lit("x"))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("n"))
+    return structure.build(b).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("n"))
+
+
+@query(None)
+def t1_conversation_divisions(spark, sf_dir):
+    """The division rows of all conversations, with whole texts: turns of the user are numbered, all others are not."""
+    b = turns(spark, sf_dir).withColumn("number", F.when(F.col("role") == "user", F.concat((F.col("pos") + 1).cast("string"), F.lit(".")))).withColumn("indent", F.lit(0.0))
+    return structure.build(b)
 
 
 BILL = [

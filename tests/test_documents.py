@@ -276,3 +276,15 @@ def test_stream_keeps_the_latest_state(spark, tmp_path):
     counts = tracker.counts_by_hour(tracker.read(spark, str(events)))
     assert counts.isStreaming
     assert tracking.latest(spark.read.schema(tracker.EVENTS).json(str(events))).first().status == "Parsed"
+
+
+def test_divisions_of_conversations_hold_whole_texts(spark, tmp_path):
+    from brieflight.plans.queries import QUERIES
+
+    rows = [(1, 0, "user", "first words"), (1, 1, "assistant", "An answer."), (1, 2, "assistant", "Annex"), (1, 3, "assistant", "annex text."), (2, 0, "user", "other " * 2000)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = QUERIES["t1_conversation_divisions"](spark, str(tmp_path)).collect()
+    assert [(x.doc_id, x.name, x.number, x.heading, x.text) for x in sorted(got, key=lambda x: (x.doc_id, x.node_id))] == [
+        ("1", "paragraph", "1.", None, "first words"), ("1", "paragraph", None, None, "An answer."), ("1", "annex", "Annex", None, ""), ("1", "paragraph", None, None, "annex text."), ("2", "paragraph", "1.", None, "other " * 2000),
+    ]
+    assert {x.doc_id: x.n for x in QUERIES["t1_documents_to_divisions"](spark, str(tmp_path)).collect()} == {1: 4, 2: 1}
