@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import pieces
 
 SUFFIX = "</w>"
 #: Words that a task remembers before it starts anew.
@@ -175,11 +175,10 @@ def encoder(path: str) -> Encoder:
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, decoded: the ids of each whole text and their decoding."""
-    small_batches(docs.sparkSession)
 
     def run(batches):
         e = encoder(path)
-        for b in batches:
+        for b in pieces(batches):
             ids, decoded = [], []
             for i, d in e.encode(b.column(1).to_pylist()):
                 ids.append([int(x) for x in i.split()])
@@ -191,11 +190,10 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and their decoding, by the same encoder."""
-    small_batches(docs.sparkSession)
 
     def run(batches):
         e = encoder(path)
-        for b in batches:
+        for b in pieces(batches):
             n, ids_sha, decoded_sha = [], [], []
             for i, d in e.encode(b.column(1).to_pylist()):
                 n.append(i.count(" ") + 1 if i else 0)

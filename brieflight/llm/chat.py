@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small_batches, tasks_for
+from .common import pieces, saved, tasks_for
 
 ROLES = ["system", "user", "assistant", "tool"]
 CHUNK = 128
@@ -138,11 +138,10 @@ def _rows(conversations: DataFrame) -> DataFrame:
 
 def fit(conversations: DataFrame) -> ChatModel:
     """Counts over all rows whose role is known; what comes to the driver is one row for each role and feature value."""
-    small_batches(conversations.sparkSession)
     rows = _rows(conversations)
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             seen: dict[tuple, int] = {}
             for role, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 k = ROLES.index(role)
@@ -185,7 +184,6 @@ def _runs(batches, n_keys: int):
 def parse(conversations: DataFrame, model: ChatModel | None = None) -> DataFrame:
     """conv_id, turn, role, n_lines, n_segments, rendered: one row per row of the table; role is that of its first line."""
     spark = conversations.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast(model or fit(conversations))
     n, longs = tasks_for(spark), pa.int64()
     # a null conv_id is told apart from others by the row's own hash

@@ -9,15 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Rows of a batch that Python takes at a time; Spark bounds the bytes of a batch (spark.sql.execution.arrow.maxBytesPerBatch).
+ROWS = 1000
 
 _own_dirs: dict[str, str] = {}
+_written: dict[str, set[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share; a temporary one only where that is unset (tests)."""
+    """The folder of spark.checkpoint.dir, which all executors share. Where it is unset, a temporary one on a local master (tests
+    and single machines) and an error on a cluster, where a machine's own folder would lose rows."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _own_dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="brieflight-"))
 
 
@@ -26,23 +32,45 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/brieflight/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, set()).add(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def forget(df: DataFrame) -> None:
-    """Delete a table that saved() wrote and nothing reads any more, and let Spark drop the shuffles of what was read from it."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    jvm.System.gc()
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that saved() wrote and nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            _delete(spark, path)
+            _written.get(spark.sparkContext.applicationId, set()).discard(path.removeprefix("file:"))
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete every table that is still there. Results read them lazily, so call it when their rows have been used."""
+    for path in _written.pop(spark.sparkContext.applicationId, set()):
+        _delete(spark, path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that are no longer held; worth it after a stage that moved much."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def pieces(batches, rows: int = ROWS):
+    """Arrow batches in slices of a few rows, so that what Python makes of them stays small."""
+    for b in batches:
+        for s in range(0, b.num_rows, rows):
+            yield b.slice(s, rows)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of whole texts stay small, however long the texts are."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "33554432")
+def renamed(df: DataFrame) -> DataFrame:
+    """df with columns c0, c1, ...: columns of one's own can then be added without a clash of names."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
 
 
 def tasks_for(spark: SparkSession, least: int = 1) -> int:
@@ -53,27 +81,25 @@ def lower_ascii(column: str):
     return F.translate(F.col(column), UPPER, LOWER)
 
 
-def connected_components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(a, b) long edges to (node, component): the smallest node that can be reached. Only nodes with edges are returned.
 
     Alternating large-star and small-star steps; each step is two keyed aggregations and a join whose edge side can be
     split, so a node with very many neighbours is never gathered in one place. Each round is written to the shared
-    folder. It ends when every node leads to one other that leads nowhere.
+    folder, and what it was made from is deleted. It ends when every node leads to one other that leads nowhere.
     """
-    spark = edges.sparkSession
     now = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    for _ in range(rounds):
+    while not now.isEmpty():
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
         large = both.join(least, both.u == least.k).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = saved(large.where("u <> v"), name)
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
         moved = large.join(least, large.u == least.k).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = saved(moved.unionAll(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct(), name)
+        before, now = now, saved(moved.unionAll(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct(), name)
+        forget(before, large)
         # settled: every node hangs on one other, and no node that others hang on hangs on another itself
         twice = now.groupBy("u").agg(F.min("v").alias("p"), F.max("v").alias("q")).where("p <> q").select("u")
         if twice.unionAll(now.join(now.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")).isEmpty():
             break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

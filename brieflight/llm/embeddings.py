@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, saved, small_batches, tasks_for
+from .common import connected_components, forget, pieces, saved, tasks_for
 
 COSINE, WIDTH, MISS, BLOCK = 0.9, 2.0, 0.02, 512
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -64,7 +64,7 @@ def _units(vectors: DataFrame) -> DataFrame:
     """id, unit: a binary unit vector, or null."""
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             units = [normal(v) for v in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([None if u is None else u.tobytes() for u in units], pa.binary())], ["id", "unit"])
 
@@ -77,7 +77,7 @@ def _keys(classes: DataFrame, k: int, tables: int) -> DataFrame:
 
     def run(batches):
         made = {}
-        for b in batches:
+        for b in pieces(batches):
             units = [np.frombuffer(u, dtype=np.float64) for u in b.column(1).to_pylist()]
             ids = np.asarray(b.column(0).to_pylist(), dtype=np.int64)
             sizes = np.array([len(u) for u in units])
@@ -179,7 +179,7 @@ def _to_first(members: DataFrame, classes: DataFrame, cosine: float) -> DataFram
     """Edges (a, b) between a class and the smallest id of a bucket of more than BLOCK, where they are linked."""
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             x, y = (b.column(i).to_pylist() for i in (2, 3))
             keep = [len(u) == len(v) and float(np.frombuffer(u, dtype=np.float64) @ np.frombuffer(v, dtype=np.float64)) >= cosine for u, v in zip(x, y)]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -201,7 +201,6 @@ def _unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
 def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per vector."""
     spark = vectors.sparkSession
-    small_batches(spark)
     rows = saved(_units(vectors), "vectors")
     real = rows.where("unit is not null and id is not null")
     # each vector is a class with a number of its own; classes under one vec_id are tied, so that it has one component

@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, saved, shared_dir, small_batches, tasks_for
+from .common import forget, pieces, saved, shared_dir, tasks_for
 
 STATES, OWN, FORMS, HEAD = 8, 8192, 16384, 1 << 18
 ITERATIONS, SEGMENT, LANES, SEEDS = 3, 128, 1024, 512
@@ -83,7 +83,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
         seen: Counter = Counter()
-        for b in batches:
+        for b in pieces(batches):
             for text in b.column(0).to_pylist():
                 seen.update(_tokens(text))
             if len(seen) > FLUSH:
@@ -181,7 +181,7 @@ def _packed(docs: DataFrame, sent, parts: int) -> DataFrame:
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["block", "ids", "held", "sizes", "codes", "head", "words", "parts", "n"])
 
-        for b in batches:
+        for b in pieces(batches):
             for i, out_of, text in zip(*(b.column(k).to_pylist() for k in range(3))):
                 tokens = _tokens(text)
                 found = np.fromiter((number(t, -1) for t in tokens), dtype=np.int64, count=len(tokens))
@@ -534,7 +534,6 @@ def _scored(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind, lex
 def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
     spark = docs.sparkSession
-    small_batches(spark)
     x, least = lexicon(saved(word_counts(docs), "word-counts"))
     sent = spark.sparkContext.broadcast(x)
     x.prepare()

@@ -5,16 +5,19 @@ which candidates come; of each minimum only the low BITS bits are kept, packed i
 corrected for chance collisions, estimates the similarity of a candidate pair by bit counts. What passes, with a margin,
 is confirmed on the full sets.
 
-A bucket of candidates is not expanded into pairs. In three rounds every class is compared with one other: the smallest
-id of its buckets, then one of another component; these links already join copies of one text. Then only buckets that
-still hold several components are left, and in them the classes outside the bucket's largest component are compared with
-those of other components, each pair in one of its buckets and, as many such pairs lie just below the threshold, also by a
-longer signature of one bit each. A pair that shares a bucket is thus compared or already
-connected, so no connection between candidates is lost.
+A bucket of candidates is not expanded into pairs. In three rounds every class is compared with one other: the first
+of its buckets, then one of another component; these links already join copies of one text. After each round only the new
+links are joined, between the components that were there, and only buckets that still hold several components are kept. In
+these, last, the classes outside the bucket's largest component are compared with those of other components, each pair in one
+of its buckets and, as many such pairs lie just below the threshold, also by a longer signature of one bit each. A pair that
+shares a bucket is thus compared or already connected, so no connection between candidates is lost. Whatever many classes are
+compared with (the first of a large group) is sent in copies, one for each CELL of them, so no group meets in one task.
 
 Defined results: a text with fewer words than a shingle is one shingle; a null, empty or blank text has none and is linked
-with nothing; a null doc_id is linked with nothing and kept; rows that repeat a doc_id count as one node; the smallest
-doc_id stands for a component; an empty table gives no rows; only doc_id and text are read.
+with nothing; a null doc_id is linked with nothing and kept; classes are told apart by their sets, so rows that repeat a
+doc_id with other texts lose no link, and all rows of one doc_id count as one node with one component; the smallest doc_id
+stands for a component; equal rows get equal results; very long texts are read whole (their sets are one value each); an empty
+table gives no rows; only doc_id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, saved, small_batches, tasks_for
+from .common import connected_components, forget, free_shuffles, pieces, renamed, saved, tasks_for
 
 HASHES, BANDS, BITS = 128, 32, 4
 ROWS = HASHES // BANDS
@@ -38,8 +41,8 @@ WORDS, PERCENT = 5, 80
 
 #: Bits of the long signature that pairs of the last pass are held against, and the margin for it (4.5 standard deviations).
 LONG, LONG_MARGIN = 4096, 0.042
-#: Rows of a block in the last pass.
-BLOCK = 1024
+#: Rows of a block in the last pass, and classes that are compared with one other in one task.
+BLOCK, CELL = 1024, 2048
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
@@ -105,45 +108,47 @@ def estimate(a: str, b: str) -> str:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set_key, bands, signature."""
-    small_batches(docs.sparkSession)
+    """doc_id, text_key, n_shingles, set_key, bands, signature: one row per document."""
 
     def run(batches):
-        for b in batches:
-            n, key, bands, sig = [], [], [], []
+        for b in pieces(batches):
+            own, n, key, bands, sig = [], [], [], [], []
             for text in b.column(1).to_pylist():
                 s = shingle_set(text, words)
                 n.append(len(s))
                 if not len(s):
-                    key.append(None), bands.append(None), sig.append(None)
+                    own.append(None), key.append(None), bands.append(None), sig.append(None)
                     continue
                 best = minima(s)
+                own.append(hashlib.sha256(text).digest())
                 key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 bands.append(band_keys(best))
                 sig.append(packed(best))
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bands, longs), pa.array(sig, longs)], ["doc_id", "n_shingles", "set_key", "bands", "signature"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.binary()), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bands, longs), pa.array(sig, longs)], ["doc_id", "text_key", "n_shingles", "set_key", "bands", "signature"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, signature array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_key binary, n_shingles long, set_key binary, bands array<long>, signature array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """id, shingles (bytes) of the given documents."""
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """id, shingles (bytes) of the wanted classes (id, first, set_key), from the texts of their first documents."""
 
     def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, words).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["id", "shingles"])
+        for b in pieces(batches):
+            made = [shingle_set(t, words).tobytes() for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in made], pa.binary()), pa.array(made, pa.binary())], ["key", "shingles"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text")).join(ids, "id", "left_semi")
-    return saved(rows.mapInArrow(run, "id long, shingles binary").dropDuplicates(["id"]), "minhash-sets")
+    rows = docs.select(F.col("doc_id").cast("long").alias("first"), F.col("text").cast("binary").alias("text")).join(wanted.select("first").distinct(), "first", "left_semi")
+    made = rows.select("text").mapInArrow(run, "key binary, shingles binary")
+    return saved(made.join(wanted.select("id", F.col("set_key").alias("key")), "key").dropDuplicates(["key"]).select("id", "shingles"), "minhash-sets")
 
 
 def _long(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """id, long signature of the given classes."""
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             made = [long_signature(np.frombuffer(x, dtype=np.uint64)) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.list_(pa.int64()))], ["id", "long"])
 
@@ -151,24 +156,40 @@ def _long(sets: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) those with enough in common: 100 * intersection >= percent * union."""
-    spark = pairs.sparkSession
+    """Of pairs (a, b) those with enough in common: 100 * intersection >= percent * union.
+
+    Of a pair the one that is in more pairs is the hub. A hub's set is sent once for each CELL of its pairs, the other sets once
+    a pair; they meet sorted, so that a task holds one hub's set and goes through the others."""
 
     def run(batches):
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    rows = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    small_batches(spark, 100)
-    try:
-        return saved(rows.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "minhash-links")
-    finally:
-        small_batches(spark)
+        hub = None
+        for b in pieces(batches, 200):
+            a_out, b_out = [], []
+            for k, _, at, a, x in zip(*(b.column(i).to_pylist() for i in range(5))):
+                x = np.frombuffer(x, dtype=np.uint64)
+                if at == 0:
+                    hub = x
+                    continue
+                # both are sorted: those of the shorter that are found in the longer
+                short, long = (x, hub) if len(x) < len(hub) else (hub, x)
+                found = np.searchsorted(long, short)
+                same = int((long[np.minimum(found, len(long) - 1)] == short).sum())
+                if 100 * same >= percent * (len(x) + len(hub) - same):
+                    a_out.append(a), b_out.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    degrees = saved(ends, "minhash-degrees")
+    one, two = (degrees.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}")) for k in "ab")
+    turned = F.struct("n_a", "a") > F.struct("n_b", "b")
+    both = pairs.join(one, "a").join(two, "b").select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"), F.greatest("n_a", "n_b").alias("n"))
+    both = saved(both.withColumn("p", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / CELL)).cast("int")), "minhash-turned")
+    hubs = both.select("b", "p").distinct().join(sets.withColumnRenamed("id", "b"), "b").select("b", "p", F.lit(0).alias("at"), F.col("b").alias("a"), "shingles")
+    rest = both.join(sets.withColumnRenamed("id", "a"), "a").select("b", "p", F.lit(1).alias("at"), "a", "shingles")
+    rows = hubs.unionAll(rest).repartition(tasks_for(pairs.sparkSession), "b", "p").sortWithinPartitions("b", "p", "at")
+    out = saved(rows.mapInArrow(run, "a long, b long"), "minhash-links")
+    forget(both, degrees)
+    return out
 
 
 def _rest(left: DataFrame, own: DataFrame, percent: int) -> DataFrame:
@@ -202,6 +223,7 @@ def _rest(left: DataFrame, own: DataFrame, percent: int) -> DataFrame:
 
     few = F.col("component") != F.col("major")
     size = left.groupBy("key").agg(F.ceil(F.count(F.when(few, 1)) / BLOCK).cast("int").alias("few_blocks"), F.ceil(F.count(F.when(~few, 1)) / BLOCK).cast("int").alias("more_blocks"))
+    size = saved(size, "minhash-blocks")  # written, so that the join below may split a hot key
     rows = left.join(size, "key").withColumn("hash", F.xxhash64("id", "key"))
     rows = rows.withColumn("own", F.when(few, F.pmod("hash", "few_blocks")).otherwise(F.col("few_blocks") + F.pmod("hash", "more_blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(few, F.col("few_blocks") + F.col("more_blocks")).otherwise(F.col("few_blocks")) - 1)))
@@ -239,59 +261,109 @@ def _cells(batches):
 
 
 def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
-    """key, id, component of each entry."""
-    return members.select("key", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    """key, id, component of each entry; found(id, component) has every candidate."""
+    return members.select("key", "id").join(found, "id")
 
 
-def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document."""
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """found(id, component) after links: only their components are joined, not all classes anew."""
+    of = lambda k: found.select(F.col("id").alias(k), F.col("component").alias(f"c_{k}"))
+    edges = links.join(of("a"), "a").join(of("b"), "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+    more = connected_components(edges).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    out = saved(found.join(more, "component", "left").select("id", F.coalesce("to", "component").alias("component")), "minhash-found")
+    forget(found, links)
+    return out
+
+
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Entries of the buckets that hold several components, with one class of the smallest and one of the largest."""
+    placed = saved(_placed(members, found), "minhash-placed")
+    ends = placed.groupBy("key").agg(F.min(F.struct("component", "id")).alias("low"), F.max(F.struct("component", "id")).alias("high")).where("low.component <> high.component")
+    out = saved(placed.join(saved(ends, "minhash-ends"), "key"), "minhash-open")
+    forget(placed)
+    return out
+
+
+def _linked_classes(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """classes (set_key, id, first) and found (id, component): those with candidates."""
     least = percent / 100 - MARGIN
-    rows = saved(signatures(docs, words), "minhash-rows")
     real = rows.where("set_key is not null and doc_id is not null")
     of_set = real.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "signature")).alias("s"))
-    classes = saved(of_set.select("set_key", F.col("s.doc_id").alias("id"), F.col("s.n_shingles").alias("n"), F.col("s.bands").alias("bands"), F.col("s.signature").alias("signature")), "minhash-classes")
+    of_set = of_set.select("set_key", F.col("s.doc_id").alias("first"), F.col("s.n_shingles").alias("n"), F.col("s.bands").alias("bands"), F.col("s.signature").alias("signature"))
+    classes = saved(of_set.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
     entries = classes.select(F.explode("bands").alias("key"), "id")
-    shared = entries.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
+    shared = saved(entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key", "low"), "minhash-shared")
     members = saved(entries.join(shared, "key"), "minhash-buckets")
+    forget(shared)
     ids = members.select("id").distinct()
-    sig = saved(classes.join(ids, "id", "left_semi").select("id", "n", "signature", "bands"), "minhash-signatures")
-    sets = _sets(docs, ids, words)
+    sig = saved(classes.join(ids, "id", "left_semi").select("id", "n", "signature", "bands", "first", "set_key"), "minhash-signatures")
+    sets = _sets(docs, sig.select("id", "first", "set_key"), words)
+    found = saved(sig.select("id", F.col("id").alias("component")), "minhash-found")
     x, y = (sig.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("signature").alias(f"sig_{k}")) for k in "ab")
     alike = f"{percent} * greatest(n_a, n_b) <= 100 * least(n_a, n_b) and {estimate('sig_a', 'sig_b')} >= {least}D"
-    links, found = None, None
-    # each round compares a class with one other of its buckets: the smallest id, then one of another component
-    for lead in (F.min("first"), F.min("least"), F.max("most")):
-        if found is None:
-            pairs = members.where("id <> first").groupBy("id").agg(lead.alias("b"))
-        else:
-            parts = _placed(members, found).groupBy("key").agg(F.min(F.struct("component", "id")).alias("low"), F.max(F.struct("component", "id")).alias("high")).where("low.component <> high.component")
-            mixed = _placed(members, found).join(parts, "key").select("id", F.when(F.col("component") != F.col("low.component"), F.col("low.id")).alias("least"), F.when(F.col("component") != F.col("high.component"), F.col("high.id")).alias("most"))
-            pairs = mixed.groupBy("id").agg(lead.alias("b")).where("b is not null")
-        pairs = pairs.withColumnRenamed("id", "a").join(x, "a").join(y, "b").where(alike).select("a", "b")
-        new = _confirmed(saved(pairs, "minhash-pairs"), sets, percent)
-        links = new if links is None else links.unionAll(new)
-        found = connected_components(links)
-    placed = _placed(members, found)
-    shares = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-    mixed = shares.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("top.component").alias("major"))
-    left = saved(placed.join(mixed, "key"), "minhash-left")
+    # each round compares a class with one other of its buckets: the first one, then one of another component
+    other = lambda end: F.when(F.col("component") != F.col(f"{end}.component"), F.col(f"{end}.id"))
+    for lead in (F.min(F.when(F.col("id") != F.col("low"), F.col("low"))), F.min(other("low")), F.max(other("high"))):
+        chosen = members.groupBy("id").agg(lead.alias("b")).where("b is not null").withColumnRenamed("id", "a")
+        pairs = saved(chosen.join(x, "a").join(y, "b").where(alike).select("a", "b"), "minhash-pairs")
+        found = _joined(found, _confirmed(pairs, sets, percent))
+        before, members = members, _open(members, found)
+        forget(before, pairs)
+    shares = members.groupBy("key", "component").agg(F.count("*").alias("c"))
+    major = saved(shares.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top")).select("key", F.col("top.component").alias("major")), "minhash-major")
+    left = saved(members.select("key", "id", "component").join(major, "key"), "minhash-left")
     own = sig.select("id", "n", "bands").join(_long(sets, left.select("id").distinct()), "id")
-    more = _confirmed(saved(_rest(left, own, percent), "minhash-rest"), sets, percent)
-    if not more.isEmpty():
-        found = connected_components(links.unionAll(more))
-    of_class = classes.select("set_key", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
-    own = rows.withColumn("own_key", F.when(F.col("doc_id").isNotNull(), F.col("set_key")))
-    out = own.join(of_class.withColumnRenamed("set_key", "own_key"), "own_key", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    rest = saved(_rest(left, own, percent), "minhash-rest")
+    found = _joined(found, _confirmed(rest, sets, percent))
+    forget(members, major, left, rest, sets, sig)
+    free_shuffles(docs.sparkSession)
+    return classes, found
+
+
+def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document."""
+    rows = saved(signatures(docs, words), "minhash-rows")
+    classes, found = _linked_classes(docs, rows, words, percent)
+    placed = classes.select("set_key", "id", "first").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # rows of one doc_id are one node: their classes are tied
+    again = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("n > 1")
+    again = saved(again.select("doc_id", (F.col("low") != F.col("high")).alias("several")), "minhash-again")
+    several = again.where("several").select("doc_id")
+    if not several.isEmpty():
+        ties = rows.join(several, "doc_id", "left_semi").where("set_key is not null").join(placed, "set_key").select("doc_id", F.col("component").alias("a"))
+        ties = ties.join(ties.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b")
+        more = connected_components(ties).select(F.col("node").alias("component"), F.col("component").alias("to"))
+        placed = placed.join(more, "component", "left").withColumn("component", F.coalesce("to", "component")).drop("to")
+    smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
+    of_class = placed.join(smallest, "component").select(F.col("set_key").alias("own_key"), "component_id")
+    own = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("own_key"))
+    out = own.join(of_class, "own_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    if not again.isEmpty():  # a row without words follows the other rows of its doc_id
+        whole = out.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("whole"))
+        out = out.join(whole, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("whole", "component_id").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, with all columns; of rows that repeat a doc_id one stays."""
-    found = saved(components(docs, words, percent), "minhash-found")
-    out = docs.join(found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-    if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        out = out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionAll(out.where("doc_id is null"))
-    return out.select(docs.columns)
+    """One document of each group, with all columns: the one with the smallest doc_id, of equal rows one. Here groups are of
+    texts alone, so a text whose doc_id is also that of a copy stays; texts without words and rows without a doc_id all stay."""
+    rows = saved(signatures(docs, words), "minhash-rows")
+    classes, found = _linked_classes(docs, rows, words, percent)
+    placed = classes.select("set_key", "id").join(found, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
+    real = rows.where("set_key is not null and doc_id is not null").select("doc_id", "text_key", "set_key").join(placed, "set_key")
+    real = saved(real.select("component", "doc_id", "text_key"), "minhash-real")
+    first = saved(real.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first")).select("component", "first.*"), "minhash-first")
+    forget(rows, classes, found)
+    stay = first.select("component", F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
+    gone = real.join(stay, "component").where("doc_id <> d or text_key <> t").select(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).distinct()
+    again = saved(real.groupBy("component", "doc_id", "text_key").count().where("count > 1").join(first, ["component", "doc_id", "text_key"]).select(F.col("doc_id").alias("d"), F.col("text_key").alias("t")), "minhash-repeated")
+    flat, i, text = renamed(docs), f"c{docs.columns.index('doc_id')}", f"c{docs.columns.index('text')}"
+    flat = flat.withColumn("own_id", F.col(i).cast("long")).withColumn("own_key", F.unhex(F.sha2(F.col(text).cast("binary"), 256)))
+    same = (F.col("own_id") == F.col("d")) & (F.col("own_key") == F.col("t"))
+    out = flat.join(saved(gone, "minhash-gone"), same, "left_anti")
+    if not again.isEmpty():
+        out = out.join(again, same, "left_anti").unionAll(out.join(again, same, "left_semi").dropDuplicates(["own_id", "own_key"]))
+    return out.drop("own_id", "own_key").toDF(*docs.columns)
 
 
 def op6(spark, sf_dir) -> DataFrame:

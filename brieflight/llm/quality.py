@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import pieces, renamed
 
 GRADES, SELECT, KEEP = 3, 2, 0.5
 BUCKETS = 1 << 18
@@ -160,14 +160,13 @@ def fit(data: Rated, grades: int = GRADES, epochs: int = EPOCHS) -> Ordinal | No
 
 def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Rated:
     """(features, grade) of at most `sample` rated documents; only their features come to the driver."""
-    small_batches(docs.sparkSession)
     grade = (F.when(F.col("quality") > 0, 1).otherwise(0) + F.when(F.coalesce("toxic", F.lit(0)) > 0, 0).otherwise(1)).cast("int")
     found = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("id"), grade.alias("grade"))
     found = found.orderBy(F.xxhash64("id"), "id", "grade").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text")).join(F.broadcast(found), "id")
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             at = [b.schema.get_field_index(x) for x in ("id", "grade", "text")]
             yield pa.RecordBatch.from_arrays([b.column(at[0]), b.column(at[1]), pa.array([features(t).astype(np.int32) for t in b.column(at[2]).to_pylist()], pa.list_(pa.int32()))], ["id", "grade", "found"])
 
@@ -190,12 +189,11 @@ def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal |
 
 def score_documents(docs: DataFrame, fitted: Ordinal | None, keep: float = KEEP) -> DataFrame:
     """doc_id, expected_grade, tail_probability, kept: one row per document."""
-    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def run(batches):
         m = sent.value
-        for b in batches:
+        for b in pieces(batches):
             tails = [m.tails(m.score(features(t))) if m else [1.0] * (GRADES - 1) for t in b.column(1).to_pylist()]
             p = [t[SELECT - 1] for t in tails]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sum(t) for t in tails], pa.float64()), pa.array(p, pa.float64()), pa.array([x >= keep for x in p], pa.bool_())], ["doc_id", "expected_grade", "tail_probability", "kept"])
@@ -206,12 +204,11 @@ def score_documents(docs: DataFrame, fitted: Ordinal | None, keep: float = KEEP)
 
 def select_documents(docs: DataFrame, fitted: Ordinal | None, keep: float = KEEP) -> DataFrame:
     """The documents that the classifier keeps, with all their columns."""
-    small_batches(docs.sparkSession)
     sent, at = docs.sparkSession.sparkContext.broadcast(fitted), docs.columns.index("text")
 
     def run(batches):
         m = sent.value
-        for b in batches:
+        for b in pieces(batches):
             texts = b.column(at).to_pylist()
             yield b.filter(pa.array([not m or m.tails(m.score(features(t.encode("utf-8") if t else None)))[SELECT - 1] >= keep for t in texts], pa.bool_()))
 

@@ -203,22 +203,42 @@ def slow_hits(words, items):
             for s in range(len(words) - len(win) + 1):
                 if words[s : s + len(win)] == win:
                     hit.update(range(s, s + len(win)))
-                    of.add(item)
+                    of |= {str(item)} - {"None"}
     return hit, of
 
 
-@pytest.mark.parametrize("block_words", [5_000_000, 10])
-def test_decontamination(spark, block_words):
+@pytest.mark.parametrize("cell", [20_000, 2])
+def test_decontamination(spark, cell, monkeypatch):
+    monkeypatch.setattr(decontaminate, "CELL", cell)  # with 2, nearly every shingle is dealt out
     r = random.Random(8)
     word = lambda: r.choice(["a", "b", "É", "zwölf", "x1"])
-    items = [(i, " ".join(word() for _ in range(r.choice([1, 2, 5, 12, 14])))) for i in range(9)] + [(90, None), (91, ""), (92, "...")]
-    texts = [None, "", "--", "A,b"] + [" ".join(word() for _ in range(r.randrange(60))) + " | " + (r.choice(items)[1] or "").upper().replace("É", "É") for _ in range(60)]
+    items = [(i, " ".join(word() for _ in range(r.choice([1, 2, 5, 12, 14])))) for i in range(9)] + [(90, None), (91, ""), (92, "..."), (2, "x1 x1 x1 b"), (None, "a a a")]
+    texts = [None, "", "--", "A,b", "x1 " * 40 + "b"] + [" ".join(word() for _ in range(r.randrange(60))) + " | " + (r.choice(items)[1] or "").upper().replace("É", "É") for _ in range(60)]
     d = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n_hit string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    got = {x.doc_id: x for x in decontaminate.contamination(d, b, block_words=block_words).collect()}
-    kept = {x.doc_id for x in decontaminate.drop_contaminated(d, b, block_words=block_words).collect()}
+    got = {x.doc_id: x for x in decontaminate.contamination(d, b).collect()}
+    kept = {x.doc_id for x in decontaminate.drop_contaminated(d, b).collect()}
     for i, t in enumerate(texts):
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
         hit, of = slow_hits(words, items)
         assert (got[i].n_words, got[i].n_hit, got[i].item_ids) == (len(words), len(hit), sorted(of))
         assert (i in kept) == (not hit)
+
+
+def test_decontamination_of_many_items_and_ids_of_any_kind(spark):
+    """Thousands of windows, an item that a third of the documents hold, string ids, and rows that share a doc_id."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(3))
+    items = [(f"q{i}", " ".join(word() for _ in range(r.choice([3, 8, 30])))) for i in range(300)]
+    texts = [" ".join(word() for _ in range(r.randrange(80))) + " " + (items[0][1] if i % 3 == 0 else items[r.randrange(300)][1][: r.randrange(200)]) for i in range(150)]
+    d = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id string, text string")
+    want = []
+    for i, t in enumerate(texts):
+        words = re.findall("[a-z]+", t)
+        hit, of = slow_hits(words, items)
+        want.append((i // 2, len(words), len(hit), sorted(of)))
+    got = decontaminate.contamination(d, b).collect()
+    assert sorted((x.doc_id, x.n_words, x.n_hit, x.item_ids) for x in got) == sorted(want)
+    assert all(len({i for s, e in x.spans for i in range(s, e)}) == x.n_hit for x in got)
+    assert sorted(x.text for x in decontaminate.drop_contaminated(d, b).collect()) == sorted(t for t, w in zip(texts, want) if not w[2])

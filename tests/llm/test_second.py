@@ -80,6 +80,39 @@ def test_near_copies(spark):
     assert minhash.components(docs.where("doc_id < 0")).count() == 0
 
 
+def test_rows_that_repeat_a_doc_id_with_other_texts(spark, monkeypatch):
+    """No link is lost, one doc_id has one component, and a text without a copy stays."""
+    x, y, z = ("".join(f"{c}{i} " for i in range(40)) for c in "xyz")
+    rows = [(3, x), (5, x), (5, y), (7, y), (8, z), (8, None), (9, z + "more"), (9, z + "more"), (None, x), (11, None), (11, "")]
+    docs = spark.createDataFrame([(*r, "k", "m") for r in rows], "doc_id long, text string, __gone string, d string")
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.component_id or 0, r.kept) for r in minhash.components(docs).collect())
+    assert got == sorted([(False, 3, 3, True), (False, 5, 3, False), (False, 5, 3, False), (False, 7, 3, False), (False, 8, 8, True), (False, 8, 8, True), (False, 9, 8, False), (False, 9, 8, False), (True, 0, 0, True), (False, 11, 11, True), (False, 11, 11, True)])
+    left = minhash.drop_near_copies(docs)
+    assert left.columns == docs.columns
+    want = [(3, x), (5, y), (8, z), (8, None), (None, x), (11, None), (11, "")]
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted((i or 0, t or "") for i, t in want)
+    twice = spark.createDataFrame([(1, x), (1, x), (2, x)], "doc_id long, text string")
+    assert [tuple(r) for r in minhash.drop_near_copies(twice).collect()] == [(1, x)]
+
+
+def test_a_large_group_is_dealt_out(spark, monkeypatch):
+    """One text and many near copies of it, in cells of four."""
+    monkeypatch.setattr(minhash, "CELL", 4)
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    r = random.Random(12)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(r.choice([1, 2, 4, 6])):
+            copy[r.randrange(100)] = f"v{r.random()}"
+        rows.append((i, " ".join(copy)))
+    sets = {i: shingles(t, 5) for i, t in rows}
+    want = components(sets, [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    got = {x.doc_id: x.component_id for x in minhash.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_signature_estimate_is_close():
     r = random.Random(3)
     words = [str(r.random()) for _ in range(900)]
