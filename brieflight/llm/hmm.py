@@ -18,7 +18,8 @@ they are summed and sent back to the blocks that hold the word. Such words occur
 parts follows the tokens.
 
 Defined results: a null text is an empty one, which is one end mark; a null doc_id counts as the empty text for the
-split; equal rows get equal scores; without training documents the model is uniform over classes; an empty table gives no
+split; equal rows get equal scores; words with equal counts are ordered by their bytes; a very long text is read whole and
+scored by one recursion over all its tokens; without training documents the model is uniform over classes; an empty table gives no
 rows; only doc_id and text are read.
 """
 
@@ -127,8 +128,8 @@ def _lexicon(sent) -> Lexicon:
 def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
     """The lexicon and the least count of its head. At most HEAD words come to the driver."""
     whole = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
-    # how many words have each count: as many rows as there are different counts
-    by_count = sorted(((r.n, r["count"]) for r in counts.groupBy("n").count().collect()), reverse=True)
+    # how many words have each count, from the largest: HEAD words are reached after HEAD counts at the latest
+    by_count = [(r.n, r["count"]) for r in counts.groupBy("n").count().orderBy(F.desc("n")).limit(HEAD + 1).collect()]
     least, held = (by_count[0][0] + 1 if by_count else 1), 0
     for n, words in by_count:
         if held + words > HEAD:
@@ -459,14 +460,29 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind):
     return whole[-1], whole[heads + CLASSES : -1], whole[:heads], whole[heads : heads + CLASSES], sums, out
 
 
-def _seeded(docs: DataFrame, x: Lexicon, corpus: np.ndarray) -> Hmm:
+def _seeded(docs: DataFrame, sent, corpus: np.ndarray) -> Hmm:
     """A first model: states lean to documents that differ most from one another, found among SEEDS of them."""
-    parts = _split(docs).where("not held_out").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "doc_id").limit(SEEDS).select("text").collect()
-    shares = []
-    for r in parts:
-        codes = [x.classes[i] if (i := x.number.get(t, -1)) >= 0 else form(t) for t in _tokens(bytes(r.text) if r.text is not None else None)]
-        c = np.bincount(codes, minlength=CLASSES).astype(np.float32)
-        shares.append(c / c.sum())
+    rows = _split(docs).where("not held_out").withColumn("at", F.xxhash64("doc_id", "text"))
+    chosen = [r.at for r in rows.select("at").distinct().orderBy("at").limit(SEEDS).collect()]
+
+    def run(batches):
+        lexicon = _lexicon(sent)
+        for b in pieces(batches):
+            made = []
+            for text in b.column(1).to_pylist():
+                codes = [lexicon.classes[i] if (i := lexicon.number.get(t, -1)) >= 0 else form(t) for t in _tokens(text)]
+                made.append(np.unique(codes, return_counts=True))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.astype(np.int32) for c, _ in made], pa.list_(pa.int32())), pa.array([n for _, n in made], pa.list_(pa.int64()))], ["at", "classes", "n"])
+
+    # only the counts of classes come to the driver, however long the texts are
+    found = rows.where(F.col("at").isin(chosen)).select("at", "text").mapInArrow(run, "at long, classes array<int>, n array<long>") if chosen else None
+    shares, seen = [], set()
+    for r in sorted(found.collect(), key=lambda r: r.at) if found is not None else []:
+        if r.at not in seen:
+            seen.add(r.at)
+            c = np.zeros(CLASSES, dtype=np.float32)
+            c[r.classes] = r.n
+            shares.append(c / c.sum())
     emit = np.tile(corpus[:, None], (1, STATES))
     if shares:
         roots = np.sqrt(np.stack(shares))
@@ -484,11 +500,11 @@ def _seeded(docs: DataFrame, x: Lexicon, corpus: np.ndarray) -> Hmm:
     return Hmm(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
 
 
-def train(docs: DataFrame, blocks: DataFrame, x: Lexicon, kind, iterations: int = ITERATIONS) -> tuple[Trained, DataFrame | None]:
+def train(docs: DataFrame, blocks: DataFrame, x: Lexicon, sent, kind, iterations: int = ITERATIONS) -> tuple[Trained, DataFrame | None]:
     """The model, and the counts of words outside the head by block."""
     corpus = x.class_tokens + ALPHA / CLASSES
     corpus = corpus / corpus.sum()
-    model = Trained(_seeded(docs, x, corpus), x, np.zeros((CLASSES, STATES)), np.zeros((len(x.words), STATES)))
+    model = Trained(_seeded(docs, sent, corpus), x, np.zeros((CLASSES, STATES)), np.zeros((len(x.words), STATES)))
     sums, table = None, None
     for _ in range(iterations):
         first, move, head, classes, sums, now = _e_step(blocks, sums, model, kind)
@@ -540,7 +556,7 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     blocks = encoded(docs, sent, 1 + int(x.tokens - x.counts.sum()) // PART)
     # counts of a word outside the head are below `least`: half precision is within one part in 2,000 of each, unless they are large
     kind = np.float16 if least < 2048 else np.float32
-    model, sums = train(docs, blocks, x, kind, iterations)
+    model, sums = train(docs, blocks, x, sent, kind, iterations)
     out = _scored(blocks, sums, model, kind, sent)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(x.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 

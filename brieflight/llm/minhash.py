@@ -203,6 +203,8 @@ def _rest(left: DataFrame, own: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for key, side, ids, comp, n, bands, long in _cells(batches):
             a, b = (np.flatnonzero(~side), np.flatnonzero(side)) if side.any() else (np.arange(len(ids)),) * 2
+            if not len(a):  # the other block is empty
+                continue
             out_a, out_b = [], []
             for s in range(0, len(a), 32):
                 part = a[s : s + 32]

@@ -11,7 +11,8 @@ Features are distinct hashed words (A-Z lower-cased, between ASCII white space a
 beginnings, and bucketed measures of form: repetition, word length, symbols, digits, lines.
 
 Defined results: a null text is an empty one; a null label or one without a document is not used; a document rated twice
-is used twice; without ratings of at least two grades nothing is learnt and every document is kept with tail probability
+is used twice, and one whose id repeats for each row, as long as the rows fit the sample; ties in the hash go by id and
+grade; equal texts get equal scores; very long texts are read whole; without ratings of at least two grades nothing is learnt and every document is kept with tail probability
 1; an empty table gives no rows; other columns are ignored, or passed through by `select_documents`.
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, renamed
+from .common import pieces
 
 GRADES, SELECT, KEEP = 3, 2, 0.5
 BUCKETS = 1 << 18
@@ -158,11 +159,26 @@ def fit(data: Rated, grades: int = GRADES, epochs: int = EPOCHS) -> Ordinal | No
     return Ordinal(w, theta)
 
 
+def bounded(docs: DataFrame, found: DataFrame, sample: int) -> DataFrame:
+    """The ratings (id, grade), without those ids whose rows in docs would go beyond the sample: a doc_id that repeats makes a
+    rating count for each of its rows. At most `sample` rows come to the driver."""
+    spark = docs.sparkSession
+    found = found.groupBy("id", "grade").agg(F.count("*").alias("times"))
+    counts = docs.select(F.col("doc_id").cast("long").alias("id")).join(F.broadcast(found), "id").groupBy("id", "grade", "times").agg(F.count("*").alias("n")).orderBy(F.xxhash64("id"), "id", "grade").collect()
+    held, left = [], sample
+    for r in counts:
+        if r.n * r.times <= left:
+            left -= r.n * r.times
+            held += [(r.id, r.grade)] * r.times
+    return spark.createDataFrame(held, "id long, grade int")
+
+
 def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Rated:
     """(features, grade) of at most `sample` rated documents; only their features come to the driver."""
     grade = (F.when(F.col("quality") > 0, 1).otherwise(0) + F.when(F.coalesce("toxic", F.lit(0)) > 0, 0).otherwise(1)).cast("int")
     found = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("id"), grade.alias("grade"))
     found = found.orderBy(F.xxhash64("id"), "id", "grade").limit(sample)
+    found = bounded(docs, found, sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text")).join(F.broadcast(found), "id")
 
     def run(batches):

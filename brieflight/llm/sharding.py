@@ -6,8 +6,9 @@ are put into a fixed number of bundles by a hash of their text, so the driver di
 `2 * shards * BUNDLES` items plus the pieces, whatever the input's size; the executors only aggregate.
 
 Defined results: a null text has size 16, no bytes and is equal to an empty text; a null doc_id is dealt like any other;
-repeated rows are separate rows of one group; ties are settled by the item's number; an empty table gives no rows;
-only `doc_id` and `text` are read, other columns are ignored.
+repeated rows are separate rows of one group; ties are settled by the item's number; a very long text counts with all its
+bytes and is never cut, so one larger than a shard's even share makes its shard larger; no setting of the session changes
+shards or slots; an empty table gives no rows; only `doc_id` and `text` are read, other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import saved, tasks_for
+from .common import saved
 
 SHARDS = 40
 #: Bundles of small groups for each shard.
@@ -94,8 +95,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLE
     units = sorted((r.unit, r.bytes) for r in rows.groupBy("unit").agg(F.sum("size").alias("bytes")).collect())
     found = karmarkar_karp([b for _, b in units], shards)
     table = spark.createDataFrame([(u, int(s)) for (u, _), s in zip(units, found)], "unit long, shard int")
-    # slots: a number within (block, shard), moved up by what earlier blocks hold; blocks grow in number with the rows
-    blocks = max(8, tasks_for(spark), -(-rows.count() // 500_000))
+    # slots: a number within (block, shard), moved up by what earlier blocks hold; their number follows from the rows alone
+    blocks = max(8, -(-rows.count() // 500_000))
     placed = rows.join(F.broadcast(table), "unit").withColumn("block", F.pmod(F.xxhash64(F.lit(2), "doc_id", "text_crc32"), F.lit(blocks)).cast("int"))
     counts = placed.groupBy("shard", "block").agg(F.count("*").alias("n"))
     before = counts.select("shard", "block", (F.sum("n").over(Window.partitionBy("shard").orderBy("block")) - F.col("n")).alias("before"))
