@@ -7,12 +7,17 @@ of each line without looking at the role column; runs of lines of one role becom
 
 A conversation is cut into chunks of CHUNK turns. Each chunk is first reduced to the best scores between its entry and
 exit roles (a small matrix), the matrices of a conversation are chained, and each chunk is then traced back between its
-known entry and exit roles. That gives the same path as one pass over the conversation, in tasks of bounded size.
+known entry and exit roles. That gives the same path as one pass over the conversation, in tasks of bounded size. A chunk of
+very many rows, which share turns or have none, is cut further: by turn, by ranges of the hash of the text, and copies of one
+text, which may stand in any order, into shares.
 
-Defined results: a null text is one empty line; a null conv_id is a conversation of its own; a null turn comes first; rows
-that share conv_id and turn are ordered by text, and repeated rows are parsed each; unknown or null roles teach nothing;
-ties go to the role that is first in ROLES; without any known role only the priors decide; an empty table gives no rows;
-only conv_id, turn, role and text are read.
+A body cannot forge a turn: in `<|`, with any backslashes between, one backslash more is put before the bar.
+
+Defined results: a null text is one empty line; a null conv_id is a conversation of its own for each row; a null turn comes
+first; rows that share conv_id and turn have an order that only depends on their texts (by the texts' hash), and repeated rows
+are parsed each; unknown or null roles teach nothing; ties go to the role that is first in ROLES; without any known role only
+the priors decide; a very long text is parsed whole, line by line; an empty table gives no rows; only conv_id, turn, role
+and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -128,12 +133,44 @@ def render(role: str, lines: list[str]) -> str:
     """One canonical turn; the marker of its first line goes."""
     m = _MARKER.match(lines[0])
     body = "\n".join([lines[0][m.end() :] if m else lines[0], *lines[1:]]).strip()
-    return f"<|{role}|>\n{body}\n<|end|>\n"
+    return f"<|{role}|>\n{escaped(body)}\n<|end|>\n"
+
+
+def escaped(body: str) -> str:
+    """The body with no mark of a turn in it: taking one backslash off before each such bar gives it back."""
+    return re.sub(r"<(\\*)\|", r"<\1\\|", body)
 
 
 def _rows(conversations: DataFrame) -> DataFrame:
     c = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.lower(F.trim("role")).alias("given"), "text")
-    return c.withColumn("chunk", F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(-(2**62))).cast("long"))
+    return c.withColumn("chunk", F.floor(F.col("turn") / CHUNK).cast("long"))
+
+
+#: What is parsed in one go, in order: a chunk of a conversation or, of a large chunk, one turn, range of hashes, text, share.
+CELL = ["conv", "chunk", "part", "range", "copy", "share"]
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """rows with CELL. They are written, as numbers given to rows here must stay the same."""
+    row = F.monotonically_increasing_id()
+    rows = rows.select(F.when(F.col("conv_id").isNull(), F.concat(F.lit("n"), row)).otherwise(F.concat(F.lit("c"), F.col("conv_id"))).alias("conv"), "chunk", "turn", F.xxhash64("text").alias("hash"), "text", "conv_id", row.alias("row"))
+    rows = saved(rows, "chat-rows")
+    none = F.lit(None).cast("long")
+    large = saved(rows.groupBy("conv", "chunk").agg(F.count("*").alias("n")).where(F.col("n") > 4 * CHUNK), "chat-large")
+    if large.isEmpty():
+        return rows.select("*", none.alias("part"), none.alias("range"), none.alias("copy"), none.alias("share"))
+    on = lambda a, b, *names: [a[x].eqNullSafe(b[x]) for x in names]
+    big = rows.join(large, on(rows, large, "conv", "chunk"), "left_semi").groupBy("conv", "chunk", "turn", "hash").agg(F.count("*").alias("times")).where(F.col("times") > CHUNK)
+    big = saved(big, "chat-copies")
+    out = rows.join(large, on(rows, large, "conv", "chunk"), "left").select(rows["*"], "n")
+    out = out.join(big, on(out, big, "conv", "chunk", "turn", "hash"), "left").select(out["*"], "times")
+    # of large chunks so many ranges of hashes that each holds about CHUNK rows
+    step = F.floor(F.lit(2.0**64) / F.ceil(F.col("n") / CHUNK))
+    inside = F.col("n").isNotNull()
+    return out.select(
+        *rows.columns, F.when(inside, F.col("turn")).otherwise(none).alias("part"), F.when(inside, F.floor(F.col("hash") / step)).otherwise(none).cast("long").alias("range"),
+        F.when(F.col("times").isNotNull(), F.col("hash")).otherwise(none).alias("copy"), F.when(F.col("times").isNotNull(), F.pmod("row", F.ceil(F.col("times") / CHUNK))).otherwise(none).cast("long").alias("share"),
+    )
 
 
 def fit(conversations: DataFrame) -> ChatModel:
@@ -182,28 +219,33 @@ def _runs(batches, n_keys: int):
 
 
 def parse(conversations: DataFrame, model: ChatModel | None = None) -> DataFrame:
-    """conv_id, turn, role, n_lines, n_segments, rendered: one row per row of the table; role is that of its first line."""
+    """conv_id, turn, role, n_lines, n_segments, continues, rendered: one row per row of the table; role is that of its first line,
+    continues whether the line before, in the row before, has it too."""
     spark = conversations.sparkSession
     sent = spark.sparkContext.broadcast(model or fit(conversations))
     n, longs = tasks_for(spark), pa.int64()
-    # a null conv_id is told apart from others by the row's own hash
-    rows = _rows(conversations).withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.concat(F.lit("-"), F.xxhash64("turn", "text").cast("string"))))
-    rows = rows.select("conv", "chunk", "turn", "text", "conv_id").repartition(n, "conv", "chunk").sortWithinPartitions("conv", "chunk", F.asc_nulls_first("turn"), F.asc_nulls_first("text"))
+    rows = _cells(_rows(conversations))
+    order = [F.asc_nulls_first(c) for c in (*CELL, "turn", "hash", "text")]
+    rows = rows.select(*CELL, "turn", "hash", "text", "conv_id")
+    dealt = rows.repartition(n, *CELL).sortWithinPartitions(*order)
+
+    k, kinds = len(CELL), [pa.string(), longs, longs, longs, longs, longs]
 
     def matrices(batches):
         m = sent.value
-        for (conv, chunk), columns in _runs(batches, 2):
-            whole = m.matrix(columns[3])
+        for cell, columns in _runs(batches, k):
+            texts = columns[k + 2]
+            whole = m.matrix(texts)
             begin = None
-            for text in columns[3]:
+            for text in texts:
                 for line, kind in m.line_scores(text):
                     begin = m.first + line if begin is None else m.step(begin, line, kind)[0]
-            yield pa.RecordBatch.from_arrays([pa.array([conv]), pa.array([chunk], longs), pa.array([whole.ravel().tolist()]), pa.array([begin.tolist()])], ["conv", "chunk", "matrix", "begin"])
+            yield pa.RecordBatch.from_arrays([*(pa.array([x], t) for x, t in zip(cell, kinds)), pa.array([whole.ravel().tolist()]), pa.array([begin.tolist()])], [*CELL, "matrix", "begin"])
 
     def chained(batches):
-        for (conv,), columns in _runs(batches, 1):
-            scores, back = np.array(columns[3][0]), []
-            for flat in columns[2][1:]:
+        for _, columns in _runs(batches, 1):
+            scores, back = np.array(columns[k + 1][0]), []
+            for flat in columns[k][1:]:
                 reach = scores[:, None] + np.array(flat).reshape(K, K)
                 back.append(reach.argmax(axis=0))
                 scores = reach.max(axis=0)
@@ -212,27 +254,31 @@ def parse(conversations: DataFrame, model: ChatModel | None = None) -> DataFrame
                 leave.append(int(come[leave[-1]]))
             leave.reverse()
             entry = [None, *leave[:-1]]
-            yield pa.RecordBatch.from_arrays([pa.array([conv] * len(leave)), pa.array(list(columns[1]), longs), pa.array(entry, pa.int32()), pa.array(leave, pa.int32())], ["conv", "chunk", "entry", "leave"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(list(c), t) for c, t in zip(columns, kinds)), pa.array(entry, pa.int32()), pa.array(leave, pa.int32())], [*CELL, "entry", "leave"])
 
     def traced(batches):
         m = sent.value
-        for _, columns in _runs(batches, 2):
+        for _, columns in _runs(batches, k):
+            turns, texts, ids, before = columns[k], columns[k + 2], columns[k + 3], columns[k + 4][0]
             out = []
-            for text, roles, turn, conv_id in zip(columns[3], m.path(columns[3], columns[5][0], columns[6][0]), columns[2], columns[4]):
+            for text, roles, turn, conv_id in zip(texts, m.path(texts, before, columns[k + 5][0]), turns, ids):
                 lines, parts, at = lines_of(text), [], 0
                 for i in range(1, len(lines) + 1):
                     if i == len(lines) or roles[i] != roles[at]:
                         parts.append(render(ROLES[roles[at]], lines[at:i]))
                         at = i
-                out.append((conv_id, turn, ROLES[roles[0]], len(lines), len(parts), "".join(parts)))
-            kinds = [longs, longs, pa.string(), longs, longs, pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], ["conv_id", "turn", "role", "n_lines", "n_segments", "rendered"])
-
-    chunks = rows.mapInArrow(matrices, "conv string, chunk long, matrix array<double>, begin array<double>")
-    ends = saved(chunks.repartition(n, "conv").sortWithinPartitions("conv", "chunk").mapInArrow(chained, "conv string, chunk long, entry int, leave int"), "chat-ends")
-    placed = rows.join(ends, ["conv", "chunk"]).select("conv", "chunk", "turn", "text", "conv_id", "entry", "leave")
-    placed = placed.repartition(n, "conv", "chunk").sortWithinPartitions("conv", "chunk", F.asc_nulls_first("turn"), F.asc_nulls_first("text"))
-    return placed.mapInArrow(traced, "conv_id long, turn long, role string, n_lines long, n_segments long, rendered string")
+                out.append((conv_id, turn, ROLES[roles[0]], len(lines), len(parts), roles[0] == before, "".join(parts)))
+                before = roles[-1]
+            types = [longs, longs, pa.string(), longs, longs, pa.bool_(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), types)], ["conv_id", "turn", "role", "n_lines", "n_segments", "continues", "rendered"])
+
+    keys = "conv string, chunk long, part long, range long, copy long, share long"
+    chunks = dealt.mapInArrow(matrices, f"{keys}, matrix array<double>, begin array<double>")
+    ends = saved(chunks.repartition(n, "conv").sortWithinPartitions(*order[:k]).mapInArrow(chained, f"{keys}, entry int, leave int"), "chat-ends")
+    same = [rows[c].eqNullSafe(ends[c]) for c in CELL]
+    placed = rows.join(ends, same).select(*(rows[c] for c in CELL), "turn", "hash", "text", "conv_id", "entry", "leave")
+    placed = placed.repartition(n, *CELL).sortWithinPartitions(*order)
+    return placed.mapInArrow(traced, "conv_id long, turn long, role string, n_lines long, n_segments long, continues boolean, rendered string")
 
 
 def op5(spark, sf_dir) -> DataFrame:
