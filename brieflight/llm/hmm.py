@@ -15,7 +15,7 @@ only breaks the symmetry, all counts then come from all training documents.
 Counts of words above a count that at most HEAD words have go by the driver, which broadcasts their emissions. All others,
 however many, stay in the cluster: each block sends its counts of them by PART of the vocabulary (a hash of the word), where
 they are summed and sent back to the blocks that hold the word. Such words occur seldom, so no part is hot, and the number of
-parts follows the tokens.
+parts follows the tokens. What travels is a byte for each state, a word's share of its count there in 255ths.
 
 Defined results: a null text is an empty one, which is one end mark; a null doc_id counts as the empty text for the
 split; equal rows get equal scores; words with equal counts are ordered by their bytes; a very long text is read whole and
@@ -55,8 +55,8 @@ FLUSH = 400_000
 END = b""
 
 
-def form(word: bytes) -> int:
-    return OWN + zlib.crc32(word[:2] + word[-3:]) % FORMS
+def form(word: bytes, own: int | None = None) -> int:
+    return (OWN if own is None else own) + zlib.crc32(word[:2] + word[-3:]) % FORMS
 
 
 def form_sql(word: str) -> str:
@@ -101,12 +101,12 @@ class Lexicon:
 
     def __init__(self, words: list[bytes], counts: list[int], tokens: int, distinct: int, class_tokens: np.ndarray, class_words: np.ndarray):
         self.words, self.counts, self.tokens, self.distinct = words, np.array(counts, dtype=np.int64), tokens, distinct
-        self.class_tokens, self.class_words = class_tokens, class_words
+        self.class_tokens, self.class_words, self.own = class_tokens, class_words, OWN
 
     def prepare(self) -> None:
         """A number, class, and log10 share for each head word."""
         self.number = {w: i for i, w in enumerate(self.words)}
-        self.classes = np.array([i if i < OWN else form(w) for i, w in enumerate(self.words)], dtype=np.int32)
+        self.classes = np.array([i if i < self.own else form(w, self.own) for i, w in enumerate(self.words)], dtype=np.int32)
         self.base = np.log10((self.counts + ALPHA) / self.whole)
 
     @property
@@ -125,8 +125,8 @@ def _lexicon(sent) -> Lexicon:
     return found
 
 
-def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
-    """The lexicon and the least count of its head. At most HEAD words come to the driver."""
+def lexicon(counts: DataFrame) -> Lexicon:
+    """At most HEAD words come to the driver."""
     whole = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
     # how many words have each count, from the largest: HEAD words are reached after HEAD counts at the latest
     by_count = [(r.n, r["count"]) for r in counts.groupBy("n").count().orderBy(F.desc("n")).limit(HEAD + 1).collect()]
@@ -151,7 +151,7 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
         tokens[i], words[i] = n, 1
     if not own or own[0] != END:
         order.insert(0, (0, END))
-    return Lexicon([w for _, w in order], [n for n, _ in order], int(whole.tokens or 0), int(whole.words or 0), tokens, words), least
+    return Lexicon([w for _, w in order], [n for n, _ in order], int(whole.tokens or 0), int(whole.words or 0), tokens, words)
 
 
 def _packed(docs: DataFrame, sent, parts: int) -> DataFrame:
@@ -319,21 +319,21 @@ class Hmm:
         mask = np.arange(size)[None, :] < lengths[:, None]
         emit = self.emit[codes.T]  # time, lane, state
         emit[~mask.T] = 1.0
-        first = np.where(begins[:, None], self.first[None, :], self.still[None, :])
+        first = np.where(begins[:, None], self.first[None, :], self.still[None, :]).astype(emit.dtype)
         ahead = np.empty_like(emit)
-        scale = np.empty((size, lanes, 1))
+        scale = np.empty((size, lanes, 1), dtype=emit.dtype)
         for t in range(size):
             now = (first if t == 0 else ahead[t - 1] @ self.move) * emit[t]
             scale[t] = now.sum(axis=1, keepdims=True)
             ahead[t] = now / scale[t]
         move = np.zeros((STATES, STATES))
-        behind = np.ones((lanes, STATES))
+        behind = np.ones((lanes, STATES), dtype=emit.dtype)
         for t in range(size - 1, 0, -1):
             live = mask[:, t][:, None]
-            moved = np.where(live, emit[t] * behind / scale[t], 0.0)
+            moved = np.where(live, emit[t] * behind / scale[t], emit.dtype.type(0))
             move += ahead[t - 1].T @ moved
             ahead_t = ahead[t] * behind
-            behind = np.where(live, moved @ self.move.T, 1.0)
+            behind = np.where(live, moved @ self.move.T, emit.dtype.type(1))
             ahead[t] = ahead_t
         ahead[0] *= behind
         ahead *= mask.T[:, :, None]
@@ -374,20 +374,31 @@ class Block:
     columns = ("block", "ids", "held", "sizes", "codes", "head", "forms", "tail", "found")
 
     def __init__(self, row: dict, m: Trained, kind):
+        """kind: of the emissions' numbers."""
         self.block, self.ids, self.held = row["block"], row["ids"], row["held"]
         self.head = np.frombuffer(row["head"], dtype=np.int32)
         tail = row["tail"] or []
         self.parts = [(t["part"], t["number"]) for t in tail]
         self.n = np.concatenate([np.frombuffer(t["n"], dtype=np.int64) for t in tail]) if tail else np.zeros(0, dtype=np.int64)
         if row["found"]:
-            counts = np.concatenate([np.frombuffer(t["v"], dtype=kind) for t in row["found"]]).reshape(-1, STATES).astype(float)
+            counts = _counts(np.concatenate([np.frombuffer(t["v"], dtype=np.uint8) for t in row["found"]]), self.n)
         else:
             counts = np.zeros((len(self.n), STATES))
-        self.emit = np.concatenate([m.head[self.head].astype(float), m.emission(np.array(row["forms"], dtype=np.int64), self.n, counts)])
         self.forms = np.array(row["forms"], dtype=np.int64)
+        self.emit = np.concatenate([m.head[self.head].astype(kind), m.emission(self.forms, self.n, counts).astype(kind)])
         self.texts = np.split(np.frombuffer(row["codes"], dtype=np.uint32), np.cumsum(row["sizes"])[:-1])
 
 
+def _shares(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts (word, state) as each word's whole count and its states' shares in 255ths."""
+    n = counts.sum(axis=1)
+    return np.rint(counts * (255 / np.maximum(n, 1e-9))[:, None]).astype(np.uint8), n
+
+
+def _counts(shares: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return shares.reshape(-1, STATES) * (n / 255.0)[:, None]
+
+
 def _blocks(batches, m: Trained, kind):
     for b in batches:
         for row in b.to_pylist():
@@ -400,7 +411,7 @@ def _with_counts(blocks: DataFrame, sums: DataFrame | None) -> DataFrame:
     return blocks.join(sums, "block", "left").select(*Block.columns)
 
 
-def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind):
+def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
     """Expected counts over all training documents: first, move, words of the head, classes of the others, and the counts of
     the others by block, with the table that they are read from."""
     spark = blocks.sparkSession
@@ -412,9 +423,9 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind):
         m = sent.value
         first, move = np.zeros(STATES), np.zeros((STATES, STATES))
         head, forms = np.zeros((heads, STATES)), np.zeros((CLASSES, STATES))
-        for x in _blocks(batches, m, kind):
-            local = Hmm(m.model.first, m.model.move, x.emit)
-            counts = np.zeros_like(x.emit)
+        for x in _blocks(batches, m, np.float32):
+            local = Hmm(m.model.first.astype(np.float32), m.model.move.astype(np.float32), x.emit)
+            counts = np.zeros(x.emit.shape)
             parts = [(len(t[s : s + SEGMENT]), s == 0, t[s : s + SEGMENT]) for t, out in zip(x.texts, x.held) if not out for s in range(0, len(t), SEGMENT)]
             parts.sort(key=lambda p: p[0])
             for s in range(0, len(parts), LANES):
@@ -428,11 +439,12 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind):
             tail = counts[len(x.head) :]
             for k in range(STATES):
                 forms[:, k] += np.bincount(x.forms, tail[:, k], minlength=CLASSES)
-            tail, at = tail.astype(kind), 0
+            (shares, whole), at = _shares(tail), 0
+            whole = np.rint(whole).astype(np.uint32)
             rows = []
-            for part, number in x.parts:
+            for _, number in x.parts:
                 n = len(number) // 4
-                rows.append(tail[at : at + n].tobytes())
+                rows.append(shares[at : at + n].tobytes() + whole[at : at + n].tobytes())
                 at += n
             k = len(rows)
             columns = [pa.nulls(k, pa.int32()), *[pa.nulls(k, pa.float32())] * STATES, pa.array([p for p, _ in x.parts], pa.int32()), pa.array([x.block] * k, pa.int64()), pa.array([i for _, i in x.parts], pa.binary()), pa.array(rows, pa.binary())]
@@ -446,8 +458,10 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind):
 
     def work(t):
         number = np.concatenate([np.frombuffer(x, dtype=np.int32) for x in t.column("number").to_pylist()])
-        v = np.concatenate([np.frombuffer(x, dtype=kind) for x in t.column("v").to_pylist()]).reshape(-1, STATES).astype(float)
-        sums = np.stack([np.bincount(number, v[:, k]) for k in range(STATES)], axis=1)[number].astype(kind)
+        cut = lambda x: len(x) // (STATES + 4) * STATES  # shares of each word, then the counts
+        v = t.column("v").to_pylist()
+        counts = _counts(np.concatenate([np.frombuffer(x, dtype=np.uint8, count=cut(x)) for x in v]), np.concatenate([np.frombuffer(x, dtype=np.uint32, offset=cut(x)) for x in v]))
+        sums = _shares(np.stack([np.bincount(number, counts[:, k]) for k in range(STATES)], axis=1))[0][number]
         ends = np.cumsum([len(x) // 4 for x in t.column("number").to_pylist()])[:-1]
         return pa.RecordBatch.from_arrays([t.column("block").combine_chunks(), t.column("part").combine_chunks(), pa.array([y.tobytes() for y in np.split(sums, ends)], pa.binary())], ["block", "part", "v"])
 
@@ -470,7 +484,7 @@ def _seeded(docs: DataFrame, sent, corpus: np.ndarray) -> Hmm:
         for b in pieces(batches):
             made = []
             for text in b.column(1).to_pylist():
-                codes = [lexicon.classes[i] if (i := lexicon.number.get(t, -1)) >= 0 else form(t) for t in _tokens(text)]
+                codes = [lexicon.classes[i] if (i := lexicon.number.get(t, -1)) >= 0 else form(t, lexicon.own) for t in _tokens(text)]
                 made.append(np.unique(codes, return_counts=True))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.astype(np.int32) for c, _ in made], pa.list_(pa.int32())), pa.array([n for _, n in made], pa.list_(pa.int64()))], ["at", "classes", "n"])
 
@@ -500,14 +514,14 @@ def _seeded(docs: DataFrame, sent, corpus: np.ndarray) -> Hmm:
     return Hmm(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
 
 
-def train(docs: DataFrame, blocks: DataFrame, x: Lexicon, sent, kind, iterations: int = ITERATIONS) -> tuple[Trained, DataFrame | None]:
+def train(docs: DataFrame, blocks: DataFrame, x: Lexicon, sent, iterations: int = ITERATIONS) -> tuple[Trained, DataFrame | None]:
     """The model, and the counts of words outside the head by block."""
     corpus = x.class_tokens + ALPHA / CLASSES
     corpus = corpus / corpus.sum()
     model = Trained(_seeded(docs, sent, corpus), x, np.zeros((CLASSES, STATES)), np.zeros((len(x.words), STATES)))
     sums, table = None, None
     for _ in range(iterations):
-        first, move, head, classes, sums, now = _e_step(blocks, sums, model, kind)
+        first, move, head, classes, sums, now = _e_step(blocks, sums, model)
         if table is not None:
             forget(table)
         table = now
@@ -517,7 +531,7 @@ def train(docs: DataFrame, blocks: DataFrame, x: Lexicon, sent, kind, iterations
     return model, sums
 
 
-def _scored(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind, lexicon_sent) -> DataFrame:
+def _scored(blocks: DataFrame, sums: DataFrame | None, model: Trained, lexicon_sent) -> DataFrame:
     sent = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -535,7 +549,7 @@ def _scored(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind, lex
             columns = [pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), pa.array([len(t) for t in texts], pa.int64()), pa.array([int((n[t] > 0).sum()) for t in texts], pa.int64()), pa.array([float(base[t].sum()) for t in texts], pa.float64()), pa.array(score, pa.float64())]
             return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-        for h in _blocks(batches, m, kind):
+        for h in _blocks(batches, m, float):
             held.append(h)
             size += sum(len(t) for t in h.texts)
             if size > HOLD:
@@ -550,14 +564,14 @@ def _scored(blocks: DataFrame, sums: DataFrame | None, model: Trained, kind, lex
 def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
     spark = docs.sparkSession
-    x, least = lexicon(saved(word_counts(docs), "word-counts"))
+    counts = saved(word_counts(docs), "word-counts")
+    x = lexicon(counts)
+    forget(counts)
     sent = spark.sparkContext.broadcast(x)
     x.prepare()
     blocks = encoded(docs, sent, 1 + int(x.tokens - x.counts.sum()) // PART)
-    # counts of a word outside the head are below `least`: half precision is within one part in 2,000 of each, unless they are large
-    kind = np.float16 if least < 2048 else np.float32
-    model, sums = train(docs, blocks, x, sent, kind, iterations)
-    out = _scored(blocks, sums, model, kind, sent)
+    model, sums = train(docs, blocks, x, sent, iterations)
+    out = _scored(blocks, sums, model, sent)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(x.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
