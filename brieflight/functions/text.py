@@ -82,7 +82,7 @@ def role_label(role: Column) -> Column:
 
 def short_uri(uri: Column, domain: str = DOMAIN) -> Column:
     """The path of a document address, without id/ and data suffixes; null if nothing is left."""
-    u = F.when(uri.startswith(domain), F.substring(uri, len(domain) + 1, 1 << 20)).otherwise(uri)
+    u = F.when(uri.startswith(domain), F.substring(uri, F.lit(len(domain) + 1), F.length(uri))).otherwise(uri)
     u = F.regexp_replace(u, r"^id/", "")
     u = F.regexp_replace(u, r"/data\.xml$", "")
     u = F.regexp_replace(u, r"/data\.akn$", "")

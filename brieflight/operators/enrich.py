@@ -146,7 +146,7 @@ def role(c: Column) -> Column:
 
     def parted(sep: str, c: Column):
         at = F.instr(c, sep)
-        a, b = F.substring(c, F.lit(1), at - 1), F.substring(c, at + len(sep), F.lit(1 << 20))
+        a, b = F.substring(c, F.lit(1), at - 1), F.substring(c, at + len(sep), F.length(c))
         return (at > 0) & ~text.is_blank(a) & ~text.is_blank(b), a, b
 
     def pair(a: Column, b: Column) -> Column:
@@ -329,7 +329,7 @@ def split_span(c: Column, pattern: str, group: int = 1) -> Column:
     """struct(before, span, after) of a match in joined text."""
     m = F.regexp_extract(c, pattern, group)
     at = F.instr(c, m)
-    return F.when(m != "", F.struct(F.substring(c, F.lit(1), at - 1).alias("before"), m.alias("span"), F.substring(c, at + F.length(m), F.lit(1 << 20)).alias("after")))
+    return F.when(m != "", F.struct(F.substring(c, F.lit(1), at - 1).alias("before"), m.alias("span"), F.substring(c, at + F.length(m), F.length(c)).alias("after")))
 
 
 def heading_depth(outline: Column, style: Column, bold: Column, half_points: Column) -> Column:

@@ -223,7 +223,7 @@ def hard_number(df: DataFrame, text: str = "text") -> DataFrame:
     bare = F.nullif(F.regexp_extract(c, r'^\s*([“"]?\d+)\s*\t', 1), F.lit(""))
     number = F.coalesce(bare, *(F.nullif(F.regexp_extract(c, f, 1), F.lit("")) for f in forms))
     df = df.withColumn("number", number)
-    after = F.substring(c, F.instr(c, F.col("number")) + F.length("number"), F.lit(1 << 20))
+    after = F.substring(c, F.instr(c, F.col("number")) + F.length("number"), F.length(c))
     return df.withColumn("rest", F.when(F.col("number").isNull(), F.col(text)).otherwise(F.regexp_replace(after, r"(?U)^\s+", "")))
 
 
@@ -319,10 +319,13 @@ def paragraph_ids(df: DataFrame, by=BY, order=ORDER) -> DataFrame:
     return rows.withColumn("eid", F.when(F.col("__clean").isNotNull() & first, F.concat(F.lit("para_"), F.col("__clean"))).otherwise(F.concat(F.lit("lvl_"), at.cast("string")))).drop("__clean")
 
 
-def level_path(df: DataFrame, depth: str = "depth", deepest: int = 6, by=BY, order=ORDER) -> DataFrame:
-    """path like 2_1_3: at each depth, how many rows of that depth came since the last row above it."""
+def level_path(df: DataFrame, depth: str = "depth", deepest: int | None = None, by=BY, order=ORDER) -> DataFrame:
+    """path like 2_1_3: at each depth, how many rows of that depth came since the last row above it. Without `deepest` the greatest
+    depth of the rows is looked up first, so no level is left out."""
     parts = []
     rows = df
+    if deepest is None:
+        deepest = int(df.agg(F.max(depth)).first()[0] or 0)
     for d in range(1, deepest + 1):
         rows = rows.withColumn(f"__up{d}", island(F.col(depth) < d, by, order))
     for d in range(1, deepest + 1):

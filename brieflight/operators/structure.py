@@ -5,6 +5,7 @@ Flat splits are islands. Trees by indent are built in one pass per document, sin
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -63,7 +64,7 @@ def headed_sections(blocks: DataFrame, heading: Column, least: int = 1) -> DataF
     return rows.withColumn("section_heading", F.first(F.when(F.col("__h"), F.col("text"))).over(Window.partitionBy("doc_id", "section").orderBy("pos"))).withColumn("is_heading", F.col("__h")).drop("__h")
 
 
-def nested_sections(blocks: DataFrame, depth: str = "depth", deepest: int = 4) -> DataFrame:
+def nested_sections(blocks: DataFrame, depth: str = "depth", deepest: int | None = None) -> DataFrame:
     """section_1 .. section_n: counters of headings of each depth below the last heading above it."""
     return seq.level_path(blocks.where(F.col(depth).isNotNull()), depth, deepest)
 
@@ -102,6 +103,10 @@ def is_hanging(indent: Column, left: Column) -> Column:
 
 BIG_LEVELS = [r"^[A-Z]\.$", r"^\([A-Z]\)$", r"^\(\d+\)$", r"^\([a-z]\)$", r"^\([ivx]+\)$"]
 
+FORMATS = [re.compile(p) for p in BIG_LEVELS]
+ANNEX = re.compile(r"(?i)annex|- annex -|annex \d+|appendix")
+PROPER = re.compile(r"\d+\.?")
+
 
 def big_level(number: Column) -> Column:
     """Which of the numbering formats of big levels, from 0; null for none."""
@@ -139,93 +144,77 @@ class Line:
 
 
 class TreeBuilder:
-    """Paragraphs, subparagraphs by deeper indent, quoted structures, big levels, cross headings and annexes of one body."""
+    """Paragraphs, subparagraphs by deeper indent, quoted structures, big levels, cross headings and annexes of one body.
 
-    def __init__(self, lines: list[Line]):
-        self.lines, self.at = lines, 0
+    What opens a division is decided for each line alone and written down first: annex lines, the formats of big numbers that a
+    line has, and headings. Divisions are then ranges of lines between such marks; only paragraphs are read line by line."""
 
-    def more(self) -> bool:
-        return self.at < len(self.lines)
+    def __init__(self, lines: list[Line]):
+        self.lines, self.at, self.end = lines, 0, len(lines)
+        self.annexes = [line.number is None and bool(ANNEX.fullmatch(line.text.strip())) for line in lines]
+        self.formats = [frozenset(k for k, f in enumerate(FORMATS) if line.number and line.flush and f.match(line.number)) for line in lines]
+        self.headings = [line.number is None and line.flush and len(line.text) < 200 and not line.text.rstrip().endswith((".", ";", ":", ",")) for line in lines]
 
     def body(self) -> list[Node]:
-        import re
+        """What comes before the first annex, then the annexes."""
+        marks = [i for i, a in enumerate(self.annexes) if a]
+        ends = [*marks[1:], len(self.lines)]
+        out = self.divided(0, marks[0] if marks else len(self.lines))
+        return out + [Node("annex", self.lines[s].text, None, [], self.paragraphs(s + 1, e)) for s, e in zip(marks, ends)]
+
+    def divided(self, s: int, e: int) -> list[Node]:
+        out, no_heading_before = [], s
+        while s < e:
+            found, to = self.levels(s, e, frozenset())
+            if not found and s >= no_heading_before:
+                found, to = self.headed(s, e)
+                no_heading_before = e if not found else to
+            if not found:
+                self.at, self.end = s, e
+                found = [self.paragraph()]
+                to = self.at
+            out += found
+            s = to
+        return out
 
-        self.big = lambda line, forms: next((f for f in forms if line.number and line.flush and re.match(f, line.number)), None)
-        out = []
-        while self.more():
-            if self.is_annex(self.lines[self.at]):
-                out.append(self.annex())
+    def ranges(self, opens: list[int], e: int) -> tuple[list[tuple[int, int]], int]:
+        """Lines that open a division, with the ends of their ranges, up to the first that has nothing below it; where that is."""
+        out = list(zip(opens, [*opens[1:], e]))
+        empty = next((k for k, (a, b) in enumerate(out) if b == a + 1), len(out))
+        return out[:empty], out[empty][0] if empty < len(out) else e
+
+    def levels(self, s: int, e: int, above: frozenset[int]) -> tuple[list[Node], int]:
+        """Levels from s on, numbered in one format that is not in use above: of the formats of the first line that number at
+        least two ranges, the earliest in BIG_LEVELS. A number of a format in use above ends them."""
+        for k in sorted(self.formats[s] - above) if s < e else []:
+            stop = next((i for i in range(s + 1, e) if self.formats[i] & above), e)
+            found, to = self.ranges([i for i in range(s, stop) if k in self.formats[i]], stop)
+            if len(found) < 2:
                 continue
-            save = self.at
-            levels = self.big_levels(BIG_LEVELS, [])
-            if levels:
-                out += levels
-                continue
-            self.at = save
-            headed = self.cross_headings()
-            if sum(n.name == "crossHeading" for n in headed) > 1:
-                out += headed
-                continue
-            self.at = save
+            out = []
+            for a, b in found:
+                inner, rest = self.levels(a + 1, b, above | {k})
+                out.append(Node("level", self.lines[a].number, self.lines[a].text, [], inner + self.paragraphs(rest if inner else a + 1, b)))
+            return out, to
+        return [], s
+
+    def headed(self, s: int, e: int) -> tuple[list[Node], int]:
+        """Two or more headings with what is below them, after what comes before the first."""
+        opens = [i for i in range(s, e) if self.headings[i]]
+        found, to = self.ranges(opens, e)
+        if len(found) < 2:
+            return [], s
+        intro = [Node("paragraphs", children=self.paragraphs(s, opens[0]))] if opens[0] > s else []
+        return intro + [Node("crossHeading", None, self.lines[a].text, [], self.paragraphs(a + 1, b)) for a, b in found], to
+
+    def paragraphs(self, s: int, e: int) -> list[Node]:
+        self.at, self.end, out = s, e, []
+        while self.more():
             out.append(self.paragraph())
         return out
 
-    @staticmethod
-    def is_annex(line: Line) -> bool:
-        import re
-
-        return line.number is None and bool(re.fullmatch(r"(?i)annex|- annex -|annex \d+|appendix", line.text.strip()))
-
-    def big_levels(self, forms: list[str], above: list[str]) -> list[Node]:
-        """Two or more neighbours numbered in one of the forms; the first form that gives so many."""
-        save = self.at
-        for form in forms:
-            self.at, out = save, []
-            while self.more() and self.big(self.lines[self.at], [form]):
-                line = self.lines[self.at]
-                self.at += 1
-                inner = self.at
-                children = self.big_levels([f for f in forms if f != form], [*above, form])
-                if len(children) < 2:
-                    self.at, children = inner, []
-                    while self.more() and not self.is_annex(self.lines[self.at]) and not self.big(self.lines[self.at], [form, *above]):
-                        children.append(self.paragraph())
-                if not children:
-                    self.at = inner - 1
-                    break
-                out.append(Node("level", line.number, line.text, [], children))
-            if len(out) > 1:
-                return out
-        self.at = save
-        return []
-
-    def is_cross_heading(self, line: Line) -> bool:
-        return line.number is None and line.flush and not line.text.rstrip().endswith((".", ";", ":", ",")) and len(line.text) < 200
-
-    def cross_headings(self) -> list[Node]:
-        out, intro = [], []
-        while self.more() and not self.is_cross_heading(self.lines[self.at]) and not self.is_annex(self.lines[self.at]):
-            intro.append(self.paragraph())
-        if intro:
-            out.append(Node("paragraphs", children=intro))
-        while self.more() and self.is_cross_heading(self.lines[self.at]) and not self.is_annex(self.lines[self.at]):
-            save, line, children = self.at, self.lines[self.at], []
-            self.at += 1
-            while self.more() and not self.is_cross_heading(self.lines[self.at]) and not self.is_annex(self.lines[self.at]):
-                children.append(self.paragraph())
-            if not children:
-                self.at = save
-                break
-            out.append(Node("crossHeading", None, line.text, [], children))
-        return out
-
-    def annex(self) -> Node:
-        line = self.lines[self.at]
-        self.at += 1
-        children = []
-        while self.more() and not self.is_annex(self.lines[self.at]):
-            children.append(self.paragraph())
-        return Node("annex", line.text, None, [], children)
+    def more(self) -> bool:
+        return self.at < self.end
 
     def paragraph(self, sub: bool = False, quote: bool = False) -> Node:
         """A line and what is deeper than it. Nested lines are read with a stack of open paragraphs, not by recursion, so a
@@ -236,8 +225,6 @@ class TreeBuilder:
         open_ = [(first, root)]
         while self.more():
             line = self.lines[self.at]
-            if self.is_annex(line):
-                break
             while len(open_) > 1 and line.indent - MARGIN <= open_[-1][0].indent:
                 open_.pop()
             above, node = open_[-1]
@@ -267,9 +254,7 @@ class TreeBuilder:
 
 
 def proper(number: str | None) -> bool:
-    import re
-
-    return number is not None and bool(re.fullmatch(r"\d+\.?", number.strip()))
+    return number is not None and bool(PROPER.fullmatch(number.strip()))
 
 
 def flatten(doc_id: str, nodes: list[Node]) -> list[tuple]:
@@ -284,22 +269,37 @@ def flatten(doc_id: str, nodes: list[Node]) -> list[tuple]:
 
 
 def build(blocks: DataFrame) -> DataFrame:
-    """blocks(doc_id, pos, text, number, indent, left_in, style, align) to divisions; one document is one task's work."""
-    import pandas as pd
-
-    columns = [f.name for f in DIVISIONS]
-
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values("pos")
-        own = lambda x: None if pd.isna(x) else x
-        rows = [Line(t or "", own(n), float(i or 0), float(own(l) or 0), own(s), own(a)) for t, n, i, l, s, a in zip(p["text"], p["number"], p["indent"].fillna(0.0), p["left_in"].fillna(0.0), p["style"], p["align"])]
-        out = pd.DataFrame(flatten(str(p["doc_id"].iloc[0]), TreeBuilder(rows).body()), columns=columns)
-        out["parent_id"] = out["parent_id"].astype("Int32")
-        return out
+    """blocks(doc_id, pos, text, number, indent, left_in, style, align) to divisions. A task goes through the documents of its
+    part in order and holds the lines of one at a time."""
+    import pyarrow as pa
+
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string()]
+
+    def run(batches):
+        mark, held, done = None, [], []
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*done), kinds)], DIVISIONS.fieldNames())
+
+        for b in batches:
+            for doc, _, t, number, indent, left, style, align in zip(*(c.to_pylist() for c in b.columns)):
+                if held and doc != mark:
+                    done += flatten(mark, TreeBuilder(held).body())
+                    held = []
+                    if len(done) > 10_000:
+                        yield rows()
+                        done = []
+                mark = doc
+                held.append(Line(t or "", number, indent or 0.0, left or 0.0, style, align))
+        if held:
+            done += flatten(mark, TreeBuilder(held).body())
+        if done:
+            yield rows()
 
     need = {"number": "string", "indent": "double", "left_in": "double", "style": "string", "align": "string"}
     blocks = blocks.withColumns({k: F.lit(None).cast(v) for k, v in need.items() if k not in blocks.columns})
-    return blocks.select(F.col("doc_id").cast("string").alias("doc_id"), "pos", "text", *need).groupBy("doc_id").applyInPandas(run, DIVISIONS)
+    rows = blocks.select(F.col("doc_id").cast("string").alias("doc_id"), "pos", "text", *(F.col(k).cast(v).alias(k) for k, v in need.items()))
+    return rows.repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(run, DIVISIONS)
 
 
 def consumed_all(blocks: DataFrame, divisions: DataFrame) -> DataFrame:
@@ -338,8 +338,10 @@ def reference_direction(references: DataFrame, bookmarks: DataFrame) -> DataFram
     return references.join(b, ["doc_id", "name"], "left").withColumn("direction", F.when(F.col("target") < F.col("pos"), "above").when(F.col("target") > F.col("pos"), "below"))
 
 
-def inherited(styles: DataFrame, prop: str, rounds: int = 12) -> DataFrame:
-    """styles(style, based_on, prop): the first value going up the chain. Each round looks twice as far up."""
+def inherited(styles: DataFrame, prop: str) -> DataFrame:
+    """styles(style, based_on, prop): the first value going up the chain. Each round looks twice as far up, until no chain of so
+    many styles can be longer; styles that are based on one another in a circle without a value get none."""
+    rounds = styles.count()
     now = styles.select("style", F.col("based_on").alias("up"), F.col(prop).alias("v"))
     for _ in range(max(1, rounds.bit_length())):
         above = now.select(F.col("style").alias("s"), F.col("up").alias("up2"), F.col("v").alias("v2"))

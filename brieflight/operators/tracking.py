@@ -8,16 +8,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 STARTED, PARSED, FAILED, SENT, INGEST_FAILED = "Started", "Parsed", "ParserFailed", "SentToIngester", "IngesterFailed"
 ORDER = [STARTED, PARSED, FAILED, SENT, INGEST_FAILED]
 KEY = ["source_uuid", "parser_run_id"]
 
 
+def plain_uuid(uuid: Column) -> Column:
+    """The one form in which uuids are compared: lower case, without the braces that validation allows."""
+    return F.lower(F.regexp_replace(F.trim(uuid), r"^\{(.*)\}$", "$1"))
+
+
 def latest(events: DataFrame) -> DataFrame:
-    """One row per document and run. Fields that the latest event lacks come from the last event that has them."""
-    order = F.struct("last_updated", F.array_position(F.array(*(F.lit(s) for s in ORDER)), F.col("status")))
+    """One row per document and run. Fields that the latest event lacks come from the last event that has them; of events with
+    equal time and status the one with the greatest fields counts, so the result does not depend on the order of rows."""
     rest = [c for c in events.columns if c not in (*KEY, "status", "last_updated")]
+    comparable = [c for c in rest if not isinstance(events.schema[c].dataType, MapType)]
+    order = F.struct("last_updated", F.array_position(F.array(*(F.lit(s) for s in ORDER)), F.col("status")), *comparable)
     return events.groupBy(*KEY).agg(F.max_by("status", order).alias("status"), F.max("last_updated").alias("last_updated"), *(F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest))
 
 
@@ -28,8 +36,8 @@ def event(rows: DataFrame, run_id: str, status: str, now: Column, **columns: Col
 
 def not_yet_sent(rows: DataFrame, states: DataFrame, run_id: str) -> DataFrame:
     """Rows whose document was not sent in another run."""
-    done = states.where((F.col("status") == SENT) & (F.col("parser_run_id") != run_id)).select(F.col("source_uuid").alias("uuid")).distinct()
-    return rows.join(done, "uuid", "left_anti")
+    done = states.where((F.col("status") == SENT) & (F.col("parser_run_id") != run_id)).select(plain_uuid(F.col("source_uuid")).alias("__done")).distinct()
+    return rows.join(done, plain_uuid(F.col("uuid")) == F.col("__done"), "left_anti")
 
 
 # Messages that are reported as one, as (how they are found, text, name).
@@ -70,9 +78,9 @@ def by_extension(states: DataFrame, run_id: str, status: str = SENT) -> DataFram
 
 def totals(validated: DataFrame, states: DataFrame, run_id: str) -> DataFrame:
     """One row: lines, skipped, unreadable, already done (of this manifest only), new, failed."""
-    done = states.where((F.col("status") == SENT) & (F.col("parser_run_id") != run_id)).select(F.col("source_uuid").alias("uuid")).distinct().withColumn("done", F.lit(1))
-    own = states.where(F.col("parser_run_id") == run_id).select(F.col("source_uuid").alias("uuid"), F.col("status").alias("state"))
-    rows = validated.withColumn("uuid", F.lower("uuid")).join(done, "uuid", "left").join(own, "uuid", "left")
+    done = states.where((F.col("status") == SENT) & (F.col("parser_run_id") != run_id)).select(plain_uuid(F.col("source_uuid")).alias("uuid")).distinct().withColumn("done", F.lit(1))
+    own = states.where(F.col("parser_run_id") == run_id).select(plain_uuid(F.col("source_uuid")).alias("uuid"), F.col("status").alias("state"))
+    rows = validated.withColumn("uuid", plain_uuid(F.col("uuid"))).join(done, "uuid", "left").join(own, "uuid", "left")
     n = lambda c: F.count(F.when(c, 1))
     valid = F.col("status") == "valid"
     return rows.agg(F.count("*").alias("n_lines"), n(F.col("status") == "skipped").alias("n_skipped"), n(F.col("status") == "failed").alias("n_unreadable"), n(valid & F.col("done").isNotNull()).alias("n_already_done"), n(valid & (F.col("state") == SENT)).alias("n_new"), n(valid & (F.col("state") == FAILED)).alias("n_failed"))
@@ -86,6 +94,7 @@ def files_by_extension(expected: DataFrame, copied: DataFrame) -> DataFrame:
 
 # ingester logs
 
+# The forms of addresses, file names, citations and lines in the logs.
 URI = r"(d-[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})"
 REFERENCE = r"([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})\.tar\.gz"
 CITATION = r"(\[\d{4}\]\s+[A-Z]+\s+\d+(\s+\([A-Z0-9]+\))?)"

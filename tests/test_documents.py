@@ -288,3 +288,29 @@ def test_divisions_of_conversations_hold_whole_texts(spark, tmp_path):
         ("1", "paragraph", "1.", None, "first words"), ("1", "paragraph", None, None, "An answer."), ("1", "annex", "Annex", None, ""), ("1", "paragraph", None, None, "annex text."), ("2", "paragraph", "1.", None, "other " * 2000),
     ]
     assert {x.doc_id: x.n for x in QUERIES["t1_documents_to_divisions"](spark, str(tmp_path)).collect()} == {1: 4, 2: 1}
+
+
+def test_nothing_is_cut_at_a_length_or_depth(spark):
+    """2 million characters, chains of 40 styles, 12 levels."""
+    long = "x" * 2_000_000
+    rest = seq.hard_number(spark.createDataFrame([(f"1. {long}",)], "text string")).first().rest
+    assert rest == long
+    chain = spark.createDataFrame([(f"s{i}", f"s{i + 1}" if i < 39 else None, "v" if i == 39 else None) for i in range(40)] + [("a", "b", None), ("b", "a", None)], "style string, based_on string, prop string")
+    got = {r.style: r.prop for r in structure.inherited(chain, "prop").collect()}
+    assert all(got[f"s{i}"] == "v" for i in range(40)) and got["a"] is None
+    deep = spark.createDataFrame([(1, i, i + 1) for i in range(12)], "doc_id int, pos int, depth int")
+    assert seq.level_path(deep).orderBy("pos").collect()[-1].path == "_".join(["1"] * 12)
+
+
+def test_uuids_are_compared_in_one_form(spark):
+    states = spark.createDataFrame([("aaaa-1", "r0", "SentToIngester"), ("{BBBB-2}", "r0", "SentToIngester")], "source_uuid string, parser_run_id string, status string")
+    rows = spark.createDataFrame([("{AAAA-1}", "valid"), ("bbbb-2", "valid"), ("cccc-3", "valid")], "uuid string, status string")
+    assert [r.uuid for r in tracking.not_yet_sent(rows, states, "r1").collect()] == ["cccc-3"]
+    assert tracking.totals(rows, states, "r1").first().n_already_done == 2
+
+
+def test_latest_does_not_depend_on_the_order_of_rows(spark):
+    rows = [("u", "r", "Parsed", 1, "a", 5), ("u", "r", "Parsed", 1, "b", None)]
+    for some in (rows, rows[::-1]):
+        got = tracking.latest(spark.createDataFrame(some, "source_uuid string, parser_run_id string, status string, last_updated long, x string, y long")).first()
+        assert (got.x, got.y) == ("b", 5)
