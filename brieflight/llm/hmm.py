@@ -48,6 +48,8 @@ WITHIN = 5.0
 #: Tokens in a block of documents, and tokens of words outside the head in a part of the vocabulary.
 BLOCK, PART = 1 << 19, 200_000
 CLASSES = OWN + FORMS
+#: Numbers of words and classes that are summed up in one place.
+SLICE = 4096
 #: Tokens that a task scores at a time.
 HOLD = 3_000_000
 #: Distinct words that a task counts before it hands them on.
@@ -417,7 +419,8 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
     spark = blocks.sparkSession
     sent = spark.sparkContext.broadcast(model)
     heads = len(model.head)
-    states = [f"s{k}" for k in range(STATES)]
+    named, kinds = ["key", "part", "block", "number", "v"], [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    batch = lambda *columns: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], named)
 
     def run(batches):
         m = sent.value
@@ -447,14 +450,14 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
                 rows.append(shares[at : at + n].tobytes() + whole[at : at + n].tobytes())
                 at += n
             k = len(rows)
-            columns = [pa.nulls(k, pa.int32()), *[pa.nulls(k, pa.float32())] * STATES, pa.array([p for p, _ in x.parts], pa.int32()), pa.array([x.block] * k, pa.int64()), pa.array([i for _, i in x.parts], pa.binary()), pa.array(rows, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", *states, "part", "block", "number", "v"])
+            yield batch([None] * k, [p for p, _ in x.parts], [x.block] * k, [i for _, i in x.parts], rows)
         # words of the head, classes of the others, then the state changes and the first states under numbers of their own
         whole = np.concatenate([head, forms, move, first[None, :]])
-        key = np.flatnonzero(whole.any(axis=1))
-        k = len(key)
-        columns = [pa.array(key, pa.int32()), *(pa.array(whole[key, i], pa.float32()) for i in range(STATES)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["key", *states, "part", "block", "number", "v"])
+        at = np.flatnonzero(whole.any(axis=1)).astype(np.int32)
+        # in slices of SLICE numbers, each one row for the shuffle
+        slices = _slices(at // SLICE)
+        k = len(slices)
+        yield batch([s for s, _, _ in slices], [None] * k, [None] * k, [at[a:b].tobytes() for _, a, b in slices], [whole[at[a:b]].astype(np.float32).tobytes() for _, a, b in slices])
 
     def work(t):
         number = np.concatenate([np.frombuffer(x, dtype=np.int32) for x in t.column("number").to_pylist()])
@@ -465,11 +468,19 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
         ends = np.cumsum([len(x) // 4 for x in t.column("number").to_pylist()])[:-1]
         return pa.RecordBatch.from_arrays([t.column("block").combine_chunks(), t.column("part").combine_chunks(), pa.array([y.tobytes() for y in np.split(sums, ends)], pa.binary())], ["block", "part", "v"])
 
-    schema = "key int, " + ", ".join(f"{s} float" for s in states) + ", part int, block long, number binary, v binary"
-    out = saved(_with_counts(blocks, sums).mapInArrow(run, schema), "e-step")
-    table = out.where("key is not null").groupBy("key").agg(*(F.sum(s).alias(s) for s in states)).toArrow()
-    whole = np.zeros((heads + CLASSES + STATES + 1, STATES))
-    whole[np.asarray(table.column("key"))] = np.stack([np.asarray(table.column(s)) for s in states], axis=1)
+    def added(t):
+        """The sums of one slice, all its numbers in one row."""
+        key = t.column("part")[0].as_py()
+        whole = np.zeros((SLICE, STATES))
+        for at, v in zip(t.column("number").to_pylist(), t.column("v").to_pylist()):
+            whole[np.frombuffer(at, dtype=np.int32) - key * SLICE] += np.frombuffer(v, dtype=np.float32).reshape(-1, STATES)
+        return pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([whole.tobytes()], pa.binary())], ["part", "v"])
+
+    out = saved(_with_counts(blocks, sums).mapInArrow(run, "key int, part int, block long, number binary, v binary"), "e-step")
+    whole = np.zeros((-(-(heads + CLASSES + STATES + 1) // SLICE) * SLICE, STATES))
+    for r in _by_part(out.where("key is not null").select(F.col("key").alias("part"), "number", "v"), added, "part int, v binary").collect():
+        whole[r.part * SLICE : (r.part + 1) * SLICE] = np.frombuffer(r.v).reshape(SLICE, STATES)
+    whole = whole[: heads + CLASSES + STATES + 1]
     sums = _gathered(_by_part(out.where("part is not null").select("part", "block", "number", "v"), work, "block long, part int, v binary"), "v")
     return whole[-1], whole[heads + CLASSES : -1], whole[:heads], whole[heads : heads + CLASSES], sums, out
 
