@@ -54,7 +54,7 @@ def from_json(df: DataFrame, column: str = "value", internal: str = "") -> DataF
 def by_code(df: DataFrame, courts: DataFrame, column: str = "court") -> DataFrame:
     """court_code and court_name by code, whatever its case; null where there is none."""
     c = courts.select(F.lower("code").alias("__code"), F.col("code").alias("court_code"), "court_name")
-    return df.join(F.broadcast(c), F.lower(column) == F.col("__code"), "left").drop("__code")
+    return df.join(c, F.lower(column) == F.col("__code"), "left").drop("__code")
 
 
 def by_code_strict(df: DataFrame, courts: DataFrame, column: str = "court") -> DataFrame:
@@ -77,7 +77,7 @@ def code_of_citation(citation: Column, courts=COURTS) -> Column:
 def by_citation(df: DataFrame, courts: DataFrame, key: list[str], column: str = "citation") -> DataFrame:
     """The same with patterns from a table: a broadcast regex join, then the smallest code of each key."""
     c = courts.where("ncn_pattern is not null").select("code", add_anchors(F.col("ncn_pattern")).alias("__p"))
-    hits = df.join(F.broadcast(c), F.expr(f"regexp_replace({column}, r'(?U)\\s+', ' ') rlike __p"))
+    hits = df.join(c, F.expr(f"regexp_replace({column}, r'(?U)\\s+', ' ') rlike __p"))
     return df.join(hits.groupBy(*key).agg(F.min("code").alias("court_code")), key, "left")
 
 

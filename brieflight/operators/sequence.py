@@ -168,7 +168,7 @@ def kgram_match(df: DataFrame, rules: DataFrame, text: str = "text", longest: in
     lines = F.array(*(F.lead(text, i).over(w) if i else F.col(text) for i in range(longest)))
     grams = head.withColumn("__lines", lines).where(F.col(order[0]) < starts)
     grams = grams.withColumn("__k", F.explode(F.sequence(F.lit(longest), F.lit(1)))).withColumn("__gram", F.slice("__lines", F.lit(1), F.col("__k")))
-    hits = grams.join(F.broadcast(rules), F.col("__gram") == F.col("lines"))
+    hits = grams.join(rules, F.col("__gram") == F.col("lines"))
     best = Window.partitionBy(*by).orderBy(F.col(order[0]), F.col("__k").desc(), "rule")
     return hits.withColumn("__n", F.row_number().over(best)).where("__n = 1").select(*by, *order, F.col("__k").alias("n_lines"), "rule", "code")
 
