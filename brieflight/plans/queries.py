@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from ..functions import citations, dates, numbers, text
 from ..operators import courts, enrich, legislation, manifest, reconcile, requests, structure, tracking
 from ..operators import sequence as seq
+from ..sources import files
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -178,15 +179,14 @@ def j3_court_of_citation(spark, sf_dir):
     return values(spark, CITES, "cite string").select(F.col("cite").alias("code"), courts.code_of_citation(F.col("cite")).alias("court"))
 
 
-PATTERNS = [("STEEL", "STEEL$"), ("BRASS", "BRASS$"), ("ECONOMY", "^ECONOMY"), ("PROMO", "^PROMO.*TIN$")]
+PATTERNS = [("STEEL", ".* STEEL"), ("BRASS", "^.* BRASS$"), ("ECONOMY", "ECONOMY .*"), ("PROMO", "^PROMO.*TIN")]
 
 
-@query("SELECT p_partkey, min(code) AS code FROM part LEFT JOIN " + values_sql(PATTERNS, "code string, pattern string") + " ON regexp_matches(p_type, pattern) GROUP BY p_partkey")
+@query("SELECT p_partkey, min(code) AS code FROM part LEFT JOIN " + values_sql(PATTERNS, "code string, pattern string") + " ON regexp_full_match(p_type, pattern) GROUP BY p_partkey")
 def j3_pattern_join(spark, sf_dir):
-    """The regex join with patterns from a table, smallest code first."""
+    """The regex join with patterns from a table, whole values only, smallest code first."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    hits = part.join(F.broadcast(values(spark, PATTERNS, "code string, pattern string")), F.expr("p_type rlike pattern"), "left")
-    return hits.groupBy("p_partkey").agg(F.min("code").alias("code"))
+    return courts.by_citation(part, values(spark, PATTERNS, "code string, ncn_pattern string"), ["p_partkey"], "p_type").select("p_partkey", F.col("court_code").alias("code"))
 
 
 CODES = [("uksc",), ("EWHC-kbd",), ("none",)]
@@ -292,7 +292,9 @@ def f1_skip_flags(spark, sf_dir):
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def j1_not_yet_processed(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti")
+    """Documents without a label, labels taken as a run that sent them."""
+    states = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("source_uuid"), F.lit("run1").alias("parser_run_id"), F.lit(tracking.SENT).alias("status"))
+    return tracking.not_yet_sent(table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("uuid")), states, "run2").select("doc_id")
 
 
 #: Events as run history: the hash of a user picks the document, the day parts the runs, the type is the status.
@@ -746,8 +748,9 @@ def j4_j5_mapping(spark, sf_dir):
 @query("SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
 def j2_dimension_lookup(spark, sf_dir):
     """A lookup of a small dimension; its size decides about a broadcast."""
-    r = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    return table(spark, sf_dir, "nation").join(r, "n_regionkey", "left").select("n_nationkey", "n_name", "r_name")
+    r = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("string").alias("code"), F.col("r_name").alias("court_name"))
+    n = table(spark, sf_dir, "nation").withColumn("court", F.col("n_regionkey").cast("string"))
+    return courts.by_code(n, r).select("n_nationkey", "n_name", F.col("court_name").alias("r_name"))
 
 
 REQUESTS = [
@@ -768,18 +771,23 @@ def f17_f18_requests(spark, sf_dir):
 
 @query("""SELECT event_id, try_cast(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def json_values(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+    return table(spark, sf_dir, "events").select("event_id", files.variant_value(F.replace("props", F.lit('"k"'), F.lit('"value"')), "int").alias("k"))
 
 
-@query("SELECT doc_id, ((length(text) - length(replace(text, '\"', '')))) AS quotes, length(text) AS chars FROM documents")
+@query("SELECT doc_id, (length(text) - length(replace(text, ',', '')))::INTEGER AS opens, (length(text) - length(replace(text, '.', '')))::INTEGER AS closes FROM documents")
 def a12_quote_counts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.regexp_count("text", F.lit('"')).cast("long").alias("quotes"), F.length("text").cast("long").alias("chars"))
+    """Commas and full stops stand in for the quotes, which these texts do not have."""
+    q = enrich.quotes(F.translate("text", ",.", "“”"))
+    return table(spark, sf_dir, "documents").select("doc_id", q["opens"].alias("opens"), q["closes"].alias("closes"))
 
 
-@query(r"""SELECT page_id, regexp_extract(url, '[?&]page=(\d+)', 1) AS page, regexp_extract(url, '/(en|fr|de|es)/', 1) AS lang, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS n_links FROM pages""")
+@query(r"""SELECT page_id AS doc_id, (i - 1)::INTEGER AS i, l[i] AS text FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages))""")
 def t19_page_descendants(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    return p.select("page_id", F.regexp_extract("url", r"[?&]page=(\d+)", 1).alias("page"), F.regexp_extract("url", "/(en|fr|de|es)/", 1).alias("lang"), F.size(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)).cast("long").alias("n_links"))
+    """The links of a page among its inlines, in order."""
+    found = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)
+    inlines = F.flatten(F.transform(found, lambda x: F.array(F.struct(F.lit("link").alias("kind"), x.alias("text")))))
+    blocks = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.lit(0).alias("pos"), inlines.alias("inlines"))
+    return structure.descendants(blocks, "link").select("doc_id", "i", "text")
 
 
 INLINES = [(1, 0, [("text", "a"), ("link", "b")]), (1, 1, [("link", "c")]), (2, 0, [])]
@@ -861,3 +869,83 @@ def d2_d3_fields(spark, sf_dir):
     f = values(spark, [(1, i, c) for i, c, *_ in FIELDS], "doc_id int, pos int, code string")
     c = F.col("code")
     return fields.numbered(f).select("pos", fields.action(c).alias("action"), fields.link(c).alias("target"), fields.symbol(c).alias("symbol"), "n")
+
+
+# metadata, links and stores over the order tables
+
+
+def order_dates(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("pos"), F.col("o_orderpriority").alias("name"), F.col("o_orderdate").cast("date").alias("value"))
+
+
+@query("SELECT o_custkey AS doc_id, o_orderpriority AS name, min(o_orderkey) AS pos, arg_min(o_orderdate::DATE, o_orderkey)::VARCHAR AS value FROM orders GROUP BY ALL")
+def a5_unique_dates(spark, sf_dir):
+    return reconcile.unique_dates(order_dates(spark, sf_dir), "name").select("doc_id", "name", "pos", F.col("value").cast("string").alias("value"))
+
+
+@query("SELECT o_custkey AS doc_id, arg_min(o_orderpriority, o_orderkey) AS name, arg_min(o_orderstatus, o_orderkey) AS role, array_to_string(list_sort(list_distinct(list(o_orderstatus))), ',') AS roles FROM orders GROUP BY o_custkey, o_orderpriority")
+def a6_unique_parties(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("pos"), F.col("o_orderpriority").alias("name"), F.col("o_orderstatus").alias("role"))
+    return reconcile.unique_parties(o).select("doc_id", "name", "role", F.array_join("roles", ",").alias("roles"))
+
+
+@query("SELECT o_custkey AS doc_id, max(o_orderdate::DATE)::VARCHAR AS date, arg_max(o_orderpriority, (o_orderdate::DATE, -o_orderkey)) AS name FROM orders GROUP BY o_custkey")
+def a7_main_date(spark, sf_dir):
+    return reconcile.main_date(order_dates(spark, sf_dir)).select("doc_id", F.col("date").cast("string").alias("date"), "name")
+
+
+@query("SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'EWHC-KBD' WHEN 1 THEN 'UKSC' WHEN 2 THEN 'UKPC' WHEN 3 THEN 'EWHC' END AS court FROM documents")
+def m3_court(spark, sf_dir):
+    """Refined by the citation, not contradicted by it, known from it alone, from the tag alone, from neither."""
+    i = F.col("doc_id") % 5
+    tagged = F.when(i == 0, "EWHC").when(i == 1, "UKSC").when(i == 3, "EWHC")
+    cite = F.when(i <= 1, F.concat(F.lit("[2020] EWHC "), F.col("doc_id") + 1, F.lit(" (KB)"))).when(i == 2, F.concat(F.lit("[2019]  UKPC "), F.col("doc_id"))).otherwise("none")
+    return table(spark, sf_dir, "documents").select("doc_id", reconcile.court(tagged, cite).alias("court"))
+
+
+@query("SELECT doc_id, 'https://docs.example.org/id/uksc/2020/' || doc_id AS work, 'https://docs.example.org/uksc/2020/' || doc_id AS expression, 'https://docs.example.org/uksc/2020/' || doc_id || '/data.xml' AS manifestation FROM documents")
+def m4_uris(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", reconcile.uris(F.concat(F.lit("uksc/2020/"), F.col("doc_id")), "https://docs.example.org/").alias("u")).select("doc_id", "u.*")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 1990 + o_orderkey % 30 ELSE year(o_orderdate) END::INTEGER AS year FROM orders")
+def m_year_of_path_or_date(spark, sf_dir):
+    k = F.col("o_orderkey")
+    path = F.when(k % 2 == 0, F.concat(F.lit("uksc/"), k % 30 + 1990, F.lit("/"), k))
+    return table(spark, sf_dir, "orders").select("o_orderkey", reconcile.year(path, F.col("o_orderdate").cast("date")).alias("year"))
+
+
+#: Lines of orders as references by supplier and part; those sent back are the bookmarks.
+MARKS_SQL = "r AS (SELECT l_suppkey AS doc_id, (l_partkey % 20)::VARCHAR AS name, l_orderkey * 10 + l_linenumber AS pos, l_returnflag = 'R' AS marked FROM lineitem), b AS (SELECT doc_id, name, min(pos) AS target FROM r WHERE marked GROUP BY ALL)"
+
+
+def references(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("doc_id"), (F.col("l_partkey") % 20).cast("string").alias("name"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), (F.col("l_returnflag") == "R").alias("marked"))
+
+
+@query(f"WITH {MARKS_SQL} SELECT doc_id, name, target AS node_id FROM (SELECT DISTINCT doc_id, name FROM r) LEFT JOIN b USING (doc_id, name)")
+def j8_link_targets(spark, sf_dir):
+    r = references(spark, sf_dir)
+    marks = r.where("marked").select("doc_id", "name", F.col("pos").alias("node_id"), F.col("pos").alias("ord"))
+    return structure.link_targets(r.select("doc_id", "name").distinct(), marks)
+
+
+@query(f"WITH {MARKS_SQL} SELECT doc_id, name, pos, CASE WHEN target < pos THEN 'above' WHEN target > pos THEN 'below' END AS direction FROM r LEFT JOIN b USING (doc_id, name)")
+def j9_reference_direction(spark, sf_dir):
+    r = references(spark, sf_dir)
+    return structure.reference_direction(r.drop("marked"), r.where("marked").drop("marked")).select("doc_id", "name", "pos", "direction")
+
+
+@query("SELECT event_id::VARCHAR AS document_uri, 'T' || user_id AS fake_tre_uuid, CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS published, 'R' || event_id AS aws_request_id FROM events WHERE event_type = 'click' AND event_id % 3 = 0")
+def s16_query_store(spark, sf_dir):
+    """Documents of one collection and run; `published` is there only where it is true."""
+    i = F.col("event_id")
+    props = F.to_json(F.struct(F.concat(F.lit("run"), i % 3).alias("parser_run_id"), F.concat(F.lit("T"), F.col("user_id")).alias("tre_uuid"), F.when(i % 2 == 0, "true").alias("published"), F.concat(F.lit("R"), i).alias("aws_request_id")))
+    docs = table(spark, sf_dir, "events").select(i.cast("string").alias("uri"), F.array(F.lit("all"), F.col("event_type")).alias("collections"), props.alias("properties"))
+    return files.query_store(docs, "click", "run0")
+
+
+@query(f"WITH {LINES_SQL}, d AS (SELECT *, CASE WHEN length(text) % 3 = 0 THEN 'n' || pos END AS number FROM lines), k AS (SELECT *, NOT (number IS NULL AND coalesce(lag(number IS NULL) OVER (PARTITION BY doc_id ORDER BY pos), false)) AS begins FROM d), g AS (SELECT *, sum(begins::INTEGER) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM k) SELECT doc_id, min(pos) AS pos, max(number) AS number, string_agg(text, chr(10) ORDER BY pos) AS text, count(*) AS n_merged FROM g GROUP BY doc_id, run")
+def w22_consolidate_unnumbered(spark, sf_dir):
+    d = lines(spark, sf_dir).select("doc_id", "pos", F.when(F.length("text") % 3 == 0, F.concat(F.lit("n"), F.col("pos"))).alias("number"), F.lit(None).cast("string").alias("heading"), "text")
+    return structure.consolidate_unnumbered(d, order=("pos",)).select("doc_id", "pos", "number", "text", "n_merged")
