@@ -179,7 +179,7 @@ def j3_court_of_citation(spark, sf_dir):
     return values(spark, CITES, "cite string").select(F.col("cite").alias("code"), courts.code_of_citation(F.col("cite")).alias("court"))
 
 
-PATTERNS = [("STEEL", ".* STEEL"), ("BRASS", "^.* BRASS$"), ("ECONOMY", "ECONOMY .*"), ("PROMO", "^PROMO.*TIN")]
+PATTERNS = [("ECO", "ECON.*"), ("PROMO", "^PROMO$"), ("S", "^S[A-Z]+"), ("SMALL", "SMALL$"), ("none", "MO")]
 
 
 @query("SELECT p_partkey, min(code) AS code FROM part LEFT JOIN " + values_sql(PATTERNS, "code string, pattern string") + " ON regexp_full_match(p_type, pattern) GROUP BY p_partkey")
