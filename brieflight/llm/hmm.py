@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import forget, pieces, saved, shared_dir, tasks_for
 
 STATES, OWN, FORMS, HEAD = 8, 8192, 16384, 1 << 18
-ITERATIONS, SEGMENT, LANES, SEEDS = 3, 128, 1024, 512
+ITERATIONS, SEGMENT, LANES, SEEDS = 3, 128, 2048, 512
 #: Smoothing: of a word within its class (and in the base), of each state's emissions by tokens of the whole corpus, of
 #: state changes.
 ALPHA, EMIT, MOVE = 0.1, 500.0, 1.0
@@ -187,7 +187,7 @@ def _packed(docs: DataFrame, sent, parts: int) -> DataFrame:
         for b in pieces(batches):
             for i, out_of, text in zip(*(b.column(k).to_pylist() for k in range(3))):
                 tokens = _tokens(text)
-                found = np.fromiter((number(t, -1) for t in tokens), dtype=np.int64, count=len(tokens))
+                found = np.fromiter(map(number, tokens, itertools.repeat(-1)), dtype=np.int64, count=len(tokens))
                 for k in np.flatnonzero(found < 0).tolist():
                     found[k] = -1 - words.setdefault(tokens[k], len(words))
                 ids.append(i), held.append(out_of), codes.append(found)
@@ -299,9 +299,9 @@ class Hmm:
             while sizes[active - 1] <= t:
                 active -= 1
             if len(ahead) > active:
-                total += np.pad(np.log10(product), (0, len(total) - len(product)))
+                total[: len(product)] += np.log10(product)
                 ahead, product = ahead[:active], np.ones(active)
-            now = ahead * self.emit[flat[starts[:active] + t]]
+            now = ahead * self.emit.take(flat.take(starts[:active] + t), axis=0)
             scale = now @ ones
             now /= scale[:, None]
             product *= scale
@@ -316,33 +316,36 @@ class Hmm:
         return out
 
     def expected(self, codes: np.ndarray, lengths: np.ndarray, begins: np.ndarray):
-        """Expected counts (first, move, emit) of segments (lane, time); lanes that begin a document start from `first`."""
+        """Expected counts (first, move, emit) of segments (lane, time), the shortest lane first; lanes that begin a document
+        start from `first`. States come before lanes in all arrays, and a step touches only lanes that still run."""
         lanes, size = codes.shape
-        mask = np.arange(size)[None, :] < lengths[:, None]
-        emit = self.emit[codes.T]  # time, lane, state
-        emit[~mask.T] = 1.0
-        first = np.where(begins[:, None], self.first[None, :], self.still[None, :]).astype(emit.dtype)
-        ahead = np.empty_like(emit)
-        scale = np.empty((size, lanes, 1), dtype=emit.dtype)
+        live = np.searchsorted(lengths, np.arange(size), side="right")  # the first lane that runs at each time
+        emit = np.ascontiguousarray(self.emit.take(np.ascontiguousarray(codes.T), axis=0).transpose(0, 2, 1))  # time, state, lane
+        ahead, scale = np.empty_like(emit), np.empty((size, lanes), dtype=emit.dtype)
+        forth, back = np.ascontiguousarray(self.move.T), np.ascontiguousarray(self.move)
         for t in range(size):
-            now = (first if t == 0 else ahead[t - 1] @ self.move) * emit[t]
-            scale[t] = now.sum(axis=1, keepdims=True)
-            ahead[t] = now / scale[t]
+            at = live[t]
+            now = np.where(begins, self.first[:, None], self.still[:, None]).astype(emit.dtype) if t == 0 else forth @ ahead[t - 1, :, at:]
+            now *= emit[t, :, at:]
+            scale[t, at:] = 1 / now.sum(axis=0)
+            np.multiply(now, scale[t, at:], out=ahead[t, :, at:])
         move = np.zeros((STATES, STATES))
-        behind = np.ones((lanes, STATES), dtype=emit.dtype)
+        behind = np.ones((STATES, lanes), dtype=emit.dtype)
         for t in range(size - 1, 0, -1):
-            live = mask[:, t][:, None]
-            moved = np.where(live, emit[t] * behind / scale[t], emit.dtype.type(0))
-            move += ahead[t - 1].T @ moved
-            ahead_t = ahead[t] * behind
-            behind = np.where(live, moved @ self.move.T, emit.dtype.type(1))
-            ahead[t] = ahead_t
+            at = live[t]
+            moved = emit[t, :, at:]
+            moved *= behind[:, at:]
+            moved *= scale[t, at:]
+            move += ahead[t - 1, :, at:] @ moved.T
+            ahead[t, :, at:] *= behind[:, at:]
+            behind[:, at:] = back @ moved
         ahead[0] *= behind
-        ahead *= mask.T[:, :, None]
-        flat = codes.T.ravel()
-        weights = ahead.reshape(-1, STATES)
-        counts = np.stack([np.bincount(flat, weights[:, k], minlength=len(self.emit)) for k in range(STATES)], axis=1)
-        return ahead[0][begins].sum(axis=0), move * self.move, counts
+        mask = np.arange(size)[:, None] < lengths[None, :]
+        flat = codes.T[mask]
+        counts = np.empty((len(self.emit), STATES))
+        for k in range(STATES):
+            counts[:, k] = np.bincount(flat, ahead[:, k][mask], minlength=len(self.emit))
+        return ahead[0][:, begins].sum(axis=1), move * self.move, counts
 
     @property
     def still(self) -> np.ndarray:
@@ -437,7 +440,8 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
                 codes = np.zeros((len(some), int(lengths.max())), dtype=np.int64)
                 codes[np.arange(codes.shape[1])[None, :] < lengths[:, None]] = np.concatenate([p[2] for p in some])
                 a, b, c = local.expected(codes, lengths, np.array([p[1] for p in some]))
-                first, move, counts = first + a, move + b, counts + c
+                first, move = first + a, move + b
+                counts += c
             head[x.head] += counts[: len(x.head)]
             tail = counts[len(x.head) :]
             for k in range(STATES):
