@@ -26,6 +26,7 @@ rows; only doc_id and text are read.
 from __future__ import annotations
 
 import itertools
+import math
 import uuid
 import zlib
 from collections import Counter
@@ -426,6 +427,8 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
     batch = lambda *columns: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], named)
 
     def run(batches):
+        from pyspark import TaskContext
+
         m = sent.value
         first, move = np.zeros(STATES), np.zeros((STATES, STATES))
         head, forms = np.zeros((heads, STATES)), np.zeros((CLASSES, STATES))
@@ -461,7 +464,7 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
         # in slices of SLICE numbers, each one row for the shuffle
         slices = _slices(at // SLICE)
         k = len(slices)
-        yield batch([s for s, _, _ in slices], [None] * k, [None] * k, [at[a:b].tobytes() for _, a, b in slices], [whole[at[a:b]].astype(np.float32).tobytes() for _, a, b in slices])
+        yield batch([s for s, _, _ in slices], [None] * k, [TaskContext.get().partitionId()] * k, [at[a:b].tobytes() for _, a, b in slices], [whole[at[a:b]].astype(np.float32).tobytes() for _, a, b in slices])
 
     def work(t):
         number = np.concatenate([np.frombuffer(x, dtype=np.int32) for x in t.column("number").to_pylist()])
@@ -472,19 +475,28 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
         ends = np.cumsum([len(x) // 4 for x in t.column("number").to_pylist()])[:-1]
         return pa.RecordBatch.from_arrays([t.column("block").combine_chunks(), t.column("part").combine_chunks(), pa.array([y.tobytes() for y in np.split(sums, ends)], pa.binary())], ["block", "part", "v"])
 
-    def added(t):
-        """The sums of one slice, all its numbers in one row."""
-        key = t.column("part")[0].as_py()
-        whole = np.zeros((SLICE, STATES))
-        for at, v in zip(t.column("number").to_pylist(), t.column("v").to_pylist()):
-            whole[np.frombuffer(at, dtype=np.int32) - key * SLICE] += np.frombuffer(v, dtype=np.float32).reshape(-1, STATES)
-        return pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([whole.tobytes()], pa.binary())], ["part", "v"])
+    def added(fan, kind):
+        """The sums of one slice in one of `fan` groups of tasks, all its numbers in one row."""
+
+        def work(t):
+            key = t.column("part")[0].as_py() // fan
+            whole = np.zeros((SLICE, STATES))
+            for at, v in zip(t.column("number").to_pylist(), t.column("v").to_pylist()):
+                whole[np.frombuffer(at, dtype=np.int32) - key * SLICE] += np.frombuffer(v, dtype=kind).reshape(-1, STATES)
+            at = np.flatnonzero(whole.any(axis=1))
+            return pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([(at + key * SLICE).astype(np.int32).tobytes()], pa.binary()), pa.array([whole[at].tobytes()], pa.binary())], ["part", "number", "v"])
+
+        return work
 
     out = saved(_with_counts(blocks, sums).mapInArrow(run, "key int, part int, block long, number binary, v binary"), "e-step")
-    whole = np.zeros((-(-(heads + CLASSES + STATES + 1) // SLICE) * SLICE, STATES))
-    for r in _by_part(out.where("key is not null").select(F.col("key").alias("part"), "number", "v"), added, "part int, v binary").collect():
-        whole[r.part * SLICE : (r.part + 1) * SLICE] = np.frombuffer(r.v).reshape(SLICE, STATES)
-    whole = whole[: heads + CLASSES + STATES + 1]
+    # every task has a row for a slice, so rows are summed by groups of tasks, then over the groups: no task takes more rows of
+    # a slice than the root of the number of tasks
+    fan = math.ceil(math.sqrt(tasks_for(spark)))
+    schema = "part int, number binary, v binary"
+    grouped = out.where("key is not null").select((F.col("key") * fan + F.col("block") % fan).cast("int").alias("part"), "number", "v")
+    whole = np.zeros((heads + CLASSES + STATES + 1, STATES))
+    for r in _by_part(_by_part(grouped, added(fan, np.float32), schema), added(1, np.float64), schema).collect():
+        whole[np.frombuffer(r.number, dtype=np.int32)] = np.frombuffer(r.v).reshape(-1, STATES)
     sums = _gathered(_by_part(out.where("part is not null").select("part", "block", "number", "v"), work, "block long, part int, v binary"), "v")
     return whole[-1], whole[heads + CLASSES : -1], whole[:heads], whole[heads : heads + CLASSES], sums, out
 
