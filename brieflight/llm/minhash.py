@@ -8,10 +8,13 @@ is confirmed on the full sets.
 A bucket of candidates is not expanded into pairs. In three rounds every class is compared with one other: the first
 of its buckets, then one of another component; these links already join copies of one text. After each round only the new
 links are joined, between the components that were there, and only buckets that still hold several components are kept. In
-these, last, the classes outside the bucket's largest component are compared with those of other components, each pair in one
-of its buckets and, as many such pairs lie just below the threshold, also by a longer signature of one bit each. A pair that
-shares a bucket is thus compared or already connected, so no connection between candidates is lost. Whatever many classes are
-compared with (the first of a large group) is sent in copies, one for each CELL of them, so no group meets in one task.
+these, last, the classes outside the bucket's largest component are held against those of other components by a longer
+signature of one bit each, as many such pairs lie just below the threshold. What is alike there falls into clusters; the
+full sets are sent once for each class to its cluster (a large one is dealt out in pairs of blocks) and pairs alike in it are
+confirmed there, unless they are connected by then. No pair becomes a row: a task gives each class one other that it is
+joined with. A pair that shares a bucket is thus compared or already connected, so no connection between candidates is lost.
+Buckets of the same classes count once. Whatever many classes are compared with (the first of a large group) is sent in
+copies, one for each CELL of them, so no group meets in one task.
 
 Defined results: a text with fewer words than a shingle is one shingle; a null, empty or blank text has none and is linked
 with nothing; a null doc_id is linked with nothing and kept; classes are told apart by their sets, so rows that repeat a
@@ -41,8 +44,8 @@ WORDS, PERCENT = 5, 80
 
 #: Bits of the long signature that pairs of the last pass are held against, and the margin for it (4.5 standard deviations).
 LONG, LONG_MARGIN = 4096, 0.042
-#: Rows of a block in the last pass, and classes that are compared with one other in one task.
-BLOCK, CELL = 1024, 2048
+#: Rows of a block in the last pass, shingles that a block holds there, and classes that are compared with one other in one task.
+BLOCK, HELD, CELL = 1024, 1 << 21, 256
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
@@ -155,6 +158,15 @@ def _long(sets: DataFrame, ids: DataFrame) -> DataFrame:
     return saved(sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(run, "id long, long array<long>"), "minhash-long")
 
 
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two sorted sets."""
+    # those of the shorter that are found in the longer
+    short, long = (x, y) if len(x) < len(y) else (y, x)
+    found = np.searchsorted(long, short)
+    same = int((long[np.minimum(found, len(long) - 1)] == short).sum())
+    return 100 * same >= percent * (len(x) + len(y) - same)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) those with enough in common: 100 * intersection >= percent * union.
 
@@ -170,11 +182,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if at == 0:
                     hub = x
                     continue
-                # both are sorted: those of the shorter that are found in the longer
-                short, long = (x, hub) if len(x) < len(hub) else (hub, x)
-                found = np.searchsorted(long, short)
-                same = int((long[np.minimum(found, len(long) - 1)] == short).sum())
-                if 100 * same >= percent * (len(x) + len(hub) - same):
+                if _alike(x, hub, percent):
                     a_out.append(a), b_out.append(k)
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
 
@@ -192,64 +200,47 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def _rest(left: DataFrame, own: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that the last pass has to confirm: of different components, one of them outside its bucket's largest
-    component, alike by their long signatures. Each pair is given once, by the first of the bands that both share.
+def _dealt(placed: DataFrame, own: DataFrame, held: int | None) -> DataFrame:
+    """placed(key, id, component) in cells of two blocks, sorted, with the columns of own: key, p, q, side, id, component, ...
 
-    left(key, id, component, major), own(id, n, bands, long). A bucket is dealt out in cells of two blocks of at most about
-    BLOCK rows: blocks outside the largest component against all blocks.
+    A key is dealt out in blocks of at most about BLOCK rows and, if given, `held` shingles; blocks outside its largest component
+    meet all blocks.
     """
+    if held:
+        placed = placed.join(own.select("id", "n"), "id")
+    shares = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
+    major = saved(shares.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top")).select("key", F.col("top.component").alias("major")), "minhash-major")
+    left = placed.join(major, "key")
+    few = F.col("component") != F.col("major")
 
-    def run(batches):
-        for key, side, ids, comp, n, bands, long in _cells(batches):
-            a, b = (np.flatnonzero(~side), np.flatnonzero(side)) if side.any() else (np.arange(len(ids)),) * 2
-            if not len(a):  # the other block is empty
-                continue
-            out_a, out_b = [], []
-            for s in range(0, len(a), 32):
-                part = a[s : s + 32]
-                differ = np.bitwise_count(long[part][:, None, :] ^ long[b][None, :, :]).sum(axis=2, dtype=np.int32)
-                near = 1 - 2 * differ / LONG >= percent / 100 - LONG_MARGIN
-                near &= comp[part][:, None] != comp[b][None, :]
-                near &= percent * np.maximum(n[part][:, None], n[b][None, :]) <= 100 * np.minimum(n[part][:, None], n[b][None, :])
-                if a is b or len(a) == len(b) == len(ids):
-                    near &= ids[part][:, None] > ids[b][None, :]
-                i, j = np.nonzero(near)
-                i, j = part[i], b[j]
-                first = (bands[i] == bands[j]).argmax(axis=1)
-                mine = bands[i, first] == key
-                out_a.append(ids[i[mine]]), out_b.append(ids[j[mine]])
-            x, y = np.concatenate(out_a), np.concatenate(out_b)
-            if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
+    def blocks(which):
+        count = F.ceil(F.count(F.when(which, 1)) / BLOCK)
+        return (F.greatest(count, F.ceil(F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0)) / held)) if held else count).cast("int")
 
-    few = F.col("component") != F.col("major")
-    size = left.groupBy("key").agg(F.ceil(F.count(F.when(few, 1)) / BLOCK).cast("int").alias("few_blocks"), F.ceil(F.count(F.when(~few, 1)) / BLOCK).cast("int").alias("more_blocks"))
+    size = left.groupBy("key").agg(blocks(few).alias("few_blocks"), blocks(~few).alias("more_blocks"))
     size = saved(size, "minhash-blocks")  # written, so that the join below may split a hot key
     rows = left.join(size, "key").withColumn("hash", F.xxhash64("id", "key"))
     rows = rows.withColumn("own", F.when(few, F.pmod("hash", "few_blocks")).otherwise(F.col("few_blocks") + F.pmod("hash", "more_blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(few, F.col("few_blocks") + F.col("more_blocks")).otherwise(F.col("few_blocks")) - 1)))
     rows = rows.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).alias("side"), "id", "component")
-    tasks = tasks_for(left.sparkSession)
-    rows = rows.join(own, "id").select("key", "p", "q", "side", "id", "component", "n", "bands", "long").repartition(tasks, "key", "p", "q").sortWithinPartitions("key", "p", "q")
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.join(own, "id").select("key", "p", "q", "side", "id", "component", *own.columns[1:]).repartition(tasks_for(placed.sparkSession), "key", "p", "q").sortWithinPartitions("key", "p", "q")
 
 
 def _cells(batches):
-    """(key, side, ids, components, sizes, bands, long signatures) of each (key, p, q), from rows sorted by these."""
+    """(side, ids, components, sizes, long signatures, sets if there are any) of each (key, p, q), from rows sorted by these."""
     mark, held = None, []
 
     def out():
-        side, ids, comp, n, bands, long = (np.concatenate(x) for x in zip(*held))
-        return mark[0], side, ids, comp, n, bands.reshape(len(ids), BANDS), long.reshape(len(ids), LONG // 64)
+        side, ids, comp, n, long = (np.concatenate(x) for x in list(zip(*held))[:5])
+        return side, ids, comp, n, long.reshape(len(ids), LONG // 64), [np.frombuffer(x, dtype=np.uint64) for h in held for x in h[5]]
 
     for b in batches:
         if not b.num_rows:
             continue
         k, p, q = (np.asarray(b.column(i)) for i in range(3))
         side, ids, comp, n = (np.asarray(b.column(i)) for i in range(3, 7))
-        bands, long = (np.asarray(b.column(i).flatten()) for i in (7, 8))
-        long = long.view(np.uint64)  # bits are counted, so there is no sign
+        long = np.asarray(b.column(7).flatten()).view(np.uint64)  # bits are counted, so there is no sign
+        sets = b.column(8).to_pylist() if b.num_columns > 8 else []
         cuts = np.flatnonzero((k[1:] != k[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1
         for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(k)]):
             now = (k[s], p[s], q[s])
@@ -257,11 +248,77 @@ def _cells(batches):
                 yield out()
                 held = []
             mark = now
-            held.append((side[s:e], ids[s:e], comp[s:e], n[s:e], bands[s * BANDS : e * BANDS], long[s * (LONG // 64) : e * (LONG // 64)]))
+            held.append((side[s:e], ids[s:e], comp[s:e], n[s:e], long[s * (LONG // 64) : e * (LONG // 64)], sets[s:e]))
     if held:
         yield out()
 
 
+def _near(side, ids, comp, n, long, percent: int):
+    """Pairs of rows (i, j) of a cell, each once: of different components and alike by their sizes and long signatures; by strips."""
+    a, b = (np.flatnonzero(~side), np.flatnonzero(side)) if side.any() else (np.arange(len(ids)),) * 2
+    for s in range(0, len(a), 32):
+        part = a[s : s + 32]
+        differ = np.bitwise_count(long[part][:, None, :] ^ long[b][None, :, :]).sum(axis=2, dtype=np.int32)
+        near = 1 - 2 * differ / LONG >= percent / 100 - LONG_MARGIN
+        near &= comp[part][:, None] != comp[b][None, :]
+        near &= percent * np.maximum(n[part][:, None], n[b][None, :]) <= 100 * np.minimum(n[part][:, None], n[b][None, :])
+        if a is b:
+            near &= ids[part][:, None] > ids[b][None, :]
+        i, j = np.nonzero(near)
+        yield part[i], b[j]
+
+
+def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the rows i with the rows j; label leads each row to the least one that it is joined with."""
+    while len(i):
+        x, y = label[i], label[j]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while ((up := label[label]) != label).any():
+            label[:] = up
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+
+
+def _leads(ids: np.ndarray, label: np.ndarray, rows: np.ndarray):
+    """Edges from the given rows to those that they are joined with."""
+    rows = rows[label[rows] != rows]
+    return pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(ids[label[rows]])], ["a", "b"])
+
+
+def _clusters(placed: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """key, id: clusters of classes that are alike by their long signatures with one of another component in a bucket.
+
+    placed(key, id, component) are the buckets; own(id, n, long).
+    """
+
+    def run(batches):
+        for side, ids, comp, n, long, _ in _cells(batches):
+            label = np.arange(len(ids))
+            for i, j in _near(side, ids, comp, n, long, percent):
+                _merge(label, i, j)
+            yield _leads(ids, label, np.arange(len(ids)))
+
+    edges = saved(_dealt(placed, own, None).mapInArrow(run, "a long, b long"), "minhash-near")
+    return saved(connected_components(edges).select(F.col("component").alias("key"), F.col("node").alias("id")), "minhash-clusters")
+
+
+def _within(placed: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that join the components of the clusters placed(key, id, component); own(id, n, long, shingles)."""
+
+    def run(batches):
+        for side, ids, comp, n, long, sets in _cells(batches):
+            _, first, of = np.unique(comp, return_index=True, return_inverse=True)
+            label = first[of]
+            for i, j in _near(side, ids, comp, n, long, percent):
+                for x, y in zip(i.tolist(), j.tolist()):
+                    p, q = label[x], label[y]
+                    if p != q and _alike(sets[x], sets[y], percent):
+                        label[label == max(p, q)] = min(p, q)
+            yield _leads(ids, label, first)
+
+    return _dealt(placed, own, HELD).mapInArrow(run, "a long, b long")
+
+
 def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
     """key, id, component of each entry; found(id, component) has every candidate."""
     return members.select("key", "id").join(found, "id")
@@ -294,11 +351,14 @@ def _linked_classes(docs: DataFrame, rows: DataFrame, words: int, percent: int)
     of_set = of_set.select("set_key", F.col("s.doc_id").alias("first"), F.col("s.n_shingles").alias("n"), F.col("s.bands").alias("bands"), F.col("s.signature").alias("signature"))
     classes = saved(of_set.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
     entries = classes.select(F.explode("bands").alias("key"), "id")
-    shared = saved(entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key", "low"), "minhash-shared")
+    # near copies share many bands: of buckets with the same classes one is kept
+    same = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"x{k}") for k in range(2)]
+    held = entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("c"), *same).where("low <> high")
+    shared = saved(held.groupBy("low", "high", "c", "x0", "x1").agg(F.min("key").alias("key")).select("key", "low"), "minhash-shared")
     members = saved(entries.join(shared, "key"), "minhash-buckets")
     forget(shared)
     ids = members.select("id").distinct()
-    sig = saved(classes.join(ids, "id", "left_semi").select("id", "n", "signature", "bands", "first", "set_key"), "minhash-signatures")
+    sig = saved(classes.join(ids, "id", "left_semi").select("id", "n", "signature", "first", "set_key"), "minhash-signatures")
     sets = _sets(docs, sig.select("id", "first", "set_key"), words)
     found = saved(sig.select("id", F.col("id").alias("component")), "minhash-found")
     x, y = (sig.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("signature").alias(f"sig_{k}")) for k in "ab")
@@ -311,13 +371,11 @@ def _linked_classes(docs: DataFrame, rows: DataFrame, words: int, percent: int)
         found = _joined(found, _confirmed(pairs, sets, percent))
         before, members = members, _open(members, found)
         forget(before, pairs)
-    shares = members.groupBy("key", "component").agg(F.count("*").alias("c"))
-    major = saved(shares.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top")).select("key", F.col("top.component").alias("major")), "minhash-major")
-    left = saved(members.select("key", "id", "component").join(major, "key"), "minhash-left")
-    own = sig.select("id", "n", "bands").join(_long(sets, left.select("id").distinct()), "id")
-    rest = saved(_rest(left, own, percent), "minhash-rest")
-    found = _joined(found, _confirmed(rest, sets, percent))
-    forget(members, major, left, rest, sets, sig)
+    own = sig.select("id", "n").join(_long(sets, members.select("id").distinct()), "id")
+    near = _clusters(members.select("key", "id", "component"), own, percent)
+    links = saved(_within(_placed(near, found), own.join(sets, "id"), percent), "minhash-links")
+    found = _joined(found, links)
+    forget(members, near, sets, sig)
     free_shuffles(docs.sparkSession)
     return classes, found
 

@@ -113,6 +113,36 @@ def test_a_large_group_is_dealt_out(spark, monkeypatch):
     assert got == want
 
 
+def test_pairs_below_the_threshold_make_no_rows(spark, monkeypatch):
+    """Two groups of copies, many of them just below the threshold to those of the other: no table has a row for each pair."""
+    tables, write = [], minhash.saved
+
+    def saved(df, name):
+        tables.append((name, write(df, name)))
+        return tables[-1][1]
+
+    def forget(*gone):
+        seen.extend((n, t.count()) for n, t in tables if any(t is g for g in gone))
+
+    seen = []
+    monkeypatch.setattr(minhash, "saved", saved)
+    monkeypatch.setattr(minhash, "forget", forget)
+    base, rows = [f"w{i}" for i in range(200)], []
+    for i in range(300):
+        copy = list(base)
+        for k in range(3 if i % 2 else 2):
+            copy[20 + 60 * k + i % 40] = f"v{i}"
+        if i % 2:
+            copy[199] = "odd"
+        rows.append((i, " ".join(copy)))
+    sets = {i: shingles(t, 5) for i, t in rows}
+    want = components(sets, [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    got = {x.doc_id: x.component_id for x in minhash.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+    most = max((n, name) for name, n in [*seen, *((name, t.count()) for name, t in tables)])
+    assert most[0] <= minhash.BANDS * len(rows), most
+
+
 def test_signature_estimate_is_close():
     r = random.Random(3)
     words = [str(r.random()) for _ in range(900)]
