@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, pieces, saved, shared_dir, tasks_for
+from .common import forget, free_shuffles, pieces, saved, shared_dir, tasks_for
 
 STATES, OWN, FORMS, HEAD = 8, 8192, 16384, 1 << 18
 ITERATIONS, SEGMENT, LANES, SEEDS = 3, 128, 2048, 512
@@ -555,6 +555,7 @@ def train(docs: DataFrame, blocks: DataFrame, x: Lexicon, sent, iterations: int
         for k in range(STATES):
             classes[:, k] += np.bincount(x.classes, head[:, k], minlength=CLASSES)
         model = Trained(Hmm.of_counts(first, move, classes, corpus), x, classes, head)
+        free_shuffles(docs.sparkSession)  # of the round before: the disk holds one round at a time
     return model, sums
 
 
@@ -594,9 +595,11 @@ def score_documents(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     counts = saved(word_counts(docs), "word-counts")
     x = lexicon(counts)
     forget(counts)
+    free_shuffles(spark)
     sent = spark.sparkContext.broadcast(x)
     x.prepare()
     blocks = encoded(docs, sent, 1 + int(x.tokens - x.counts.sum()) // PART)
+    free_shuffles(spark)
     model, sums = train(docs, blocks, x, sent, iterations)
     out = _scored(blocks, sums, model, sent)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(x.tokens).cast("long").alias("train_tokens"), "base_score", "score")
