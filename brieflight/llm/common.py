@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of a batch that Python takes at a time; Spark bounds the bytes of a batch (spark.sql.execution.arrow.maxBytesPerBatch).
 ROWS = 1000
+#: Bits of a sieve at most (8 MB), and those of each id while there is room.
+SIEVE, SPARSE = 1 << 26, 16
+#: Edges of which the driver finds the components itself; more are joined in rounds.
+FEW = 1 << 16
 
 _own_dirs: dict[str, str] = {}
 _written: dict[str, set[str]] = {}
@@ -57,7 +64,8 @@ def clean(spark: SparkSession) -> None:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that are no longer held; worth it after a stage that moved much."""
+    """Let Spark drop the shuffle files of plans that are no longer held; worth it after a stage that moved much. A full
+    collection also gives back what the driver's heap has taken for planning, which it otherwise keeps."""
     spark.sparkContext._jvm.System.gc()
 
 
@@ -81,14 +89,56 @@ def lower_ascii(column: str):
     return F.translate(F.col(column), UPPER, LOWER)
 
 
+def sieve(ids: DataFrame) -> Callable[[str], Column]:
+    """A test for long columns: true for all of ids (a table of one column), seldom true for others, never null.
+
+    Rows that pass still need an exact join, unless more of them do no harm; those that do not pass need not move for it. The
+    test has at most SIEVE bits at any number of ids: with more ids than bits it lets more through, but loses none.
+    """
+    place = lambda k: F.pmod(F.xxhash64(k), F.lit(SIEVE))
+    set_ = ids.select(place(ids.columns[0]).alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).toArrow()
+    bits = np.zeros(SIEVE // 64, dtype=np.int64)
+    bits[np.asarray(set_["w"])] = np.asarray(set_["b"])
+    least = max(1 << 10, SPARSE * int(np.bitwise_count(bits.view(np.uint64)).sum()))
+    while 32 * len(bits) >= least:  # folded to what its ids need
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+
+    def passes(p: pa.Array) -> pa.Array:
+        p = np.asarray(p)
+        return pa.array((bits[(p >> 6) & (len(bits) - 1)] >> (p & 63)) & 1 == 1)
+
+    test = F.arrow_udf(passes, "boolean")
+    return lambda k: test(place(k))
+
+
+def _of_few(rows: list) -> pa.Table:
+    """(node, component) of (u, v) edges with u > v."""
+    nodes, ends = np.unique(np.array(rows, dtype=np.int64), return_inverse=True)
+    ends, label = ends.reshape(-1, 2), np.arange(len(nodes))
+    i, j = ends[:, 0], ends[:, 1]
+    while len(i):
+        x, y = label[i], label[j]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while ((up := label[label]) != label).any():
+            label = up
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+    return pa.table({"node": nodes, "component": nodes[label]})
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(a, b) long edges to (node, component): the smallest node that can be reached. Only nodes with edges are returned.
 
     Alternating large-star and small-star steps; each step is two keyed aggregations and a join whose edge side can be
     split, so a node with very many neighbours is never gathered in one place. Each round is written to the shared
-    folder, and what it was made from is deleted. It ends when every node leads to one other that leads nowhere.
+    folder, and what it was made from is deleted. It ends when every node leads to one other that leads nowhere. At most
+    FEW edges are joined on the driver instead, as rounds of so little cost the driver more plans and threads than memory.
     """
     now = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
+    few = now.limit(FEW + 1).collect() if FEW else []
+    if 0 < len(few) <= FEW:
+        forget(now)
+        return edges.sparkSession.createDataFrame(_of_few(few), "node long, component long")
     while not now.isEmpty():
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, forget, free_shuffles, pieces, renamed, saved, tasks_for
+from .common import connected_components, forget, free_shuffles, pieces, renamed, saved, sieve, tasks_for
 
 HASHES, BANDS, BITS = 128, 32, 4
 ROWS = HASHES // BANDS
@@ -142,20 +142,21 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             made = [shingle_set(t, words).tobytes() for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in made], pa.binary()), pa.array(made, pa.binary())], ["key", "shingles"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("first"), F.col("text").cast("binary").alias("text")).join(wanted.select("first").distinct(), "first", "left_semi")
-    made = rows.select("text").mapInArrow(run, "key binary, shingles binary")
+    # the texts are filtered where they are read: what passes without being wanted has no partner in the join on keys
+    rows = docs.select(F.col("doc_id").cast("long").alias("first"), F.col("text").cast("binary").alias("text"))
+    made = rows.where(sieve(wanted.select("first"))("first")).select("text").mapInArrow(run, "key binary, shingles binary")
     return saved(made.join(wanted.select("id", F.col("set_key").alias("key")), "key").dropDuplicates(["key"]).select("id", "shingles"), "minhash-sets")
 
 
 def _long(sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, long signature of the given classes."""
+    """id, long signature of the given classes, and of a few more."""
 
     def run(batches):
         for b in pieces(batches):
             made = [long_signature(np.frombuffer(x, dtype=np.uint64)) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.list_(pa.int64()))], ["id", "long"])
 
-    return saved(sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(run, "id long, long array<long>"), "minhash-long")
+    return saved(sets.where(sieve(ids)("id")).select("id", "shingles").mapInArrow(run, "id long, long array<long>"), "minhash-long")
 
 
 def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -360,6 +361,7 @@ def _linked_classes(docs: DataFrame, rows: DataFrame, words: int, percent: int)
     ids = members.select("id").distinct()
     sig = saved(classes.join(ids, "id", "left_semi").select("id", "n", "signature", "first", "set_key"), "minhash-signatures")
     sets = _sets(docs, sig.select("id", "first", "set_key"), words)
+    free_shuffles(docs.sparkSession)
     found = saved(sig.select("id", F.col("id").alias("component")), "minhash-found")
     x, y = (sig.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("signature").alias(f"sig_{k}")) for k in "ab")
     alike = f"{percent} * greatest(n_a, n_b) <= 100 * least(n_a, n_b) and {estimate('sig_a', 'sig_b')} >= {least}D"
@@ -368,14 +370,23 @@ def _linked_classes(docs: DataFrame, rows: DataFrame, words: int, percent: int)
     for lead in (F.min(F.when(F.col("id") != F.col("low"), F.col("low"))), F.min(other("low")), F.max(other("high"))):
         chosen = members.groupBy("id").agg(lead.alias("b")).where("b is not null").withColumnRenamed("id", "a")
         pairs = saved(chosen.join(x, "a").join(y, "b").where(alike).select("a", "b"), "minhash-pairs")
-        found = _joined(found, _confirmed(pairs, sets, percent))
-        before, members = members, _open(members, found)
-        forget(before, pairs)
-    own = sig.select("id", "n").join(_long(sets, members.select("id").distinct()), "id")
-    near = _clusters(members.select("key", "id", "component"), own, percent)
-    links = saved(_within(_placed(near, found), own.join(sets, "id"), percent), "minhash-links")
-    found = _joined(found, links)
-    forget(members, near, sets, sig)
+        first, new = "component" not in members.columns, not pairs.isEmpty()
+        if new:
+            found = _joined(found, _confirmed(pairs, sets, percent))
+        if new or first:
+            before, members = members, _open(members, found)
+            forget(before)
+        forget(pairs)
+        free_shuffles(docs.sparkSession)  # after each round, so that neither files nor the driver's heap grow over all of them
+        if members.isEmpty():
+            break
+    if not members.isEmpty():
+        own = sig.select("id", "n").join(_long(sets, members.select("id").distinct()), "id")
+        near = _clusters(members.select("key", "id", "component"), own, percent)
+        free_shuffles(docs.sparkSession)
+        found = _joined(found, saved(_within(_placed(near, found), own.join(sets, "id"), percent), "minhash-links"))
+        forget(near)
+    forget(members, sets, sig)
     free_shuffles(docs.sparkSession)
     return classes, found
 
@@ -416,14 +427,19 @@ def drop_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     forget(rows, classes, found)
     stay = first.select("component", F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
     gone = real.join(stay, "component").where("doc_id <> d or text_key <> t").select(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).distinct()
+    gone = saved(gone, "minhash-gone")
     again = saved(real.groupBy("component", "doc_id", "text_key").count().where("count > 1").join(first, ["component", "doc_id", "text_key"]).select(F.col("doc_id").alias("d"), F.col("text_key").alias("t")), "minhash-repeated")
     flat, i, text = renamed(docs), f"c{docs.columns.index('doc_id')}", f"c{docs.columns.index('text')}"
-    flat = flat.withColumn("own_id", F.col(i).cast("long")).withColumn("own_key", F.unhex(F.sha2(F.col(text).cast("binary"), 256)))
+    flat = flat.withColumn("own_id", F.col(i).cast("long"))
+    # only rows whose doc_id may be of a text that goes or repeats are moved for the joins
+    touched = sieve(gone.select("d").unionAll(again.select("d")))
+    out = flat.where(touched("own_id")).withColumn("own_key", F.unhex(F.sha2(F.col(text).cast("binary"), 256)))
     same = (F.col("own_id") == F.col("d")) & (F.col("own_key") == F.col("t"))
-    out = flat.join(saved(gone, "minhash-gone"), same, "left_anti")
+    out = out.join(gone, same, "left_anti")
     if not again.isEmpty():
         out = out.join(again, same, "left_anti").unionAll(out.join(again, same, "left_semi").dropDuplicates(["own_id", "own_key"]))
-    return out.drop("own_id", "own_key").toDF(*docs.columns)
+    out = flat.where(~touched("own_id")).drop("own_id").unionAll(out.drop("own_id", "own_key"))
+    return out.toDF(*docs.columns)
 
 
 def op6(spark, sf_dir) -> DataFrame:

@@ -113,6 +113,59 @@ def test_a_large_group_is_dealt_out(spark, monkeypatch):
     assert got == want
 
 
+def test_few_edges_are_joined_without_rounds(spark, monkeypatch):
+    """The driver and the rounds give the same components; few edges are written once, not once a round."""
+    r = random.Random(21)
+    pairs = [(r.randrange(-200, 200), r.randrange(-200, 200)) for _ in range(150)] + [(i, i + 1) for i in range(1000, 1040)]
+    edges, written, write = spark.createDataFrame(pairs, "a long, b long"), [], common.saved
+    monkeypatch.setattr(common, "saved", lambda df, name: written.append(name) or write(df, name))
+    few = sorted(map(tuple, common.connected_components(edges).collect()))
+    assert len(written) == 1
+    monkeypatch.setattr(common, "FEW", 0)
+    assert few == sorted(map(tuple, common.connected_components(edges).collect()))
+
+
+def test_sieve_loses_no_id(spark, monkeypatch):
+    ids = spark.range(0, 30000, 3).withColumnRenamed("id", "x")
+    rows = spark.range(30000).unionAll(spark.sql("select cast(null as long)"))
+    for bits in (1 << 26, 1 << 13):  # with room, and with more ids than bits
+        monkeypatch.setattr(common, "SIEVE", bits)
+        passed = common.sieve(ids)
+        got = rows.select("id", passed("id").alias("p"), (~passed("id")).alias("q")).collect()
+        assert all(x.p for x in got if x.id is not None and x.id % 3 == 0)
+        assert all(x.p is not None and x.p != x.q for x in got)
+        if bits == 1 << 26:
+            assert sum(x.p for x in got) < 10000 + 0.1 * 20000
+    assert not any(x[0] for x in rows.select(common.sieve(ids.where("x < 0"))("id")).collect())
+
+
+def test_texts_are_not_moved_for_what_few_of_them_need(spark, monkeypatch):
+    """Copies among many other texts: sets are made, and copies dropped, without a join that moves the other texts."""
+    plans, write = {}, minhash.saved
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(minhash, "saved", lambda df, name: plans.setdefault(name, plan(df)) and write(df, name))
+    texts = [" ".join(f"w{i}-{j}" for j in range(30)) for i in range(200)]
+    docs = spark.createDataFrame([*enumerate(texts), (500, texts[7]), (501, texts[8] + " more"), (9, texts[9]), (None, texts[3])], "doc_id long, text string")
+    left = minhash.drop_near_copies(docs)
+    assert sorted((x.doc_id is None, x.doc_id or 0) for x in left.collect()) == [*((False, i) for i in range(200)), (True, 0)]
+    assert "LeftSemi" not in plans["minhash-sets"]
+    top = plan(left).split("\n")
+    assert top[0].startswith("Union")
+    stay = top[1 : next(i for i, x in enumerate(top) if i > 1 and x.startswith((":-", "+-")))]
+    assert not any("Join" in x for x in stay), top
+
+
+def test_no_round_without_an_open_bucket(spark, monkeypatch):
+    """Copies that the first round joins: there is no later round and no last pass."""
+    names, write = [], minhash.saved
+    monkeypatch.setattr(minhash, "saved", lambda df, name: names.append(name) or write(df, name))
+    text = [f"w{j}" for j in range(200)]
+    rows = [(1, " ".join(text)), (2, " ".join([*text, "more"])), (3, "other words are here and no more")]
+    got = {x.doc_id: x.component_id for x in minhash.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+    assert names.count("minhash-pairs") == 1 and "minhash-long" not in names
+
+
 def test_pairs_below_the_threshold_make_no_rows(spark, monkeypatch):
     """Two groups of copies, many of them just below the threshold to those of the other: no table has a row for each pair."""
     tables, write = [], minhash.saved
