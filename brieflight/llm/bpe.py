@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import pieces
 
 SUFFIX = "</w>"
-#: Words that a task remembers before it starts anew.
+#: Words that a task remembers before it starts anew. It forgets them at its end, as its worker goes on to other work.
 REMEMBER = 400_000
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Word pattern of the vocabulary file, with white space spelled out.
@@ -142,10 +142,13 @@ class Encoder:
         self.ids: dict[str, str] = {}
         self.decoded: dict[str, str] = {}
 
+    def forget(self) -> None:
+        self.ids.clear()
+        self.decoded.clear()
+
     def learn(self, words: set[str]) -> None:
         if len(self.ids) > REMEMBER:
-            self.ids.clear()
-            self.decoded.clear()
+            self.forget()
         new = [w for w in words if w not in self.ids]
         plain = [w for w in new if w[0] != "\0" or w[1:] not in self.bpe.special]
         for w in new:
@@ -184,6 +187,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 ids.append([int(x) for x in i.split()])
                 decoded.append(d)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
+        e.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
@@ -200,6 +204,7 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
                 ids_sha.append(hashlib.sha256(i.encode()).hexdigest())
                 decoded_sha.append(hashlib.sha256(d.encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(decoded_sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        e.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -93,7 +93,9 @@ def sieve(ids: DataFrame) -> Callable[[str], Column]:
     """A test for long columns: true for all of ids (a table of one column), seldom true for others, never null.
 
     Rows that pass still need an exact join, unless more of them do no harm; those that do not pass need not move for it. The
-    test has at most SIEVE bits at any number of ids: with more ids than bits it lets more through, but loses none.
+    test has at most SIEVE bits at any number of ids: with more ids than bits it lets more through, but loses none. The bits
+    are the value of a scalar subquery, so that Spark tests rows itself: a function in Python would take a second Python
+    worker for each task that also runs mapInArrow, and workers stay for the stages after.
     """
     place = lambda k: F.pmod(F.xxhash64(k), F.lit(SIEVE))
     set_ = ids.select(place(ids.columns[0]).alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).toArrow()
@@ -102,13 +104,15 @@ def sieve(ids: DataFrame) -> Callable[[str], Column]:
     least = max(1 << 10, SPARSE * int(np.bitwise_count(bits.view(np.uint64)).sum()))
     while 32 * len(bits) >= least:  # folded to what its ids need
         bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+    row = pa.table({"bits": pa.ListArray.from_arrays(pa.array([0, len(bits)], pa.int32()), pa.array(bits))})
+    held, last = ids.sparkSession.createDataFrame(row).scalar(), len(bits) - 1
 
-    def passes(p: pa.Array) -> pa.Array:
-        p = np.asarray(p)
-        return pa.array((bits[(p >> 6) & (len(bits) - 1)] >> (p & 63)) & 1 == 1)
+    def test(k: str) -> Column:
+        p = place(k)
+        word = F.get(held, F.shiftright(p, 6).bitwiseAND(last).cast("int"))
+        return F.call_function("shiftright", word, (p % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
 
-    test = F.arrow_udf(passes, "boolean")
-    return lambda k: test(place(k))
+    return test
 
 
 def _of_few(rows: list) -> pa.Table:

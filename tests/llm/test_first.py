@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -220,6 +221,19 @@ def test_reliabilities_learn_the_good_labeler():
 ODD = ["", None, " ", "it's DON'T 'S x's", "<|endoftext|> hi <|startoftext|>a<|ENDOFTEXT|>", "a" * 500, "ΑΣ ΟΔΥΣΣΕΥΣ", "İé\x1c\x85\x00 ١²ﬁ", "\0<|endoftext|>", "漢字🎉‍"]
 
 
+def test_a_task_leaves_no_words_in_its_worker(spark):
+    docs = spark.createDataFrame([(i, f"some{i} words") for i in range(8)], "doc_id long, text string").coalesce(1)
+
+    def held(batches):
+        list(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([sum(len(e.ids) + len(e.decoded) for e in bpe._encoders.values())], pa.int64())], ["n"])
+
+    for encode in (bpe.encode_documents, bpe.encode_digests):
+        encode(docs, bpe.default_path()).collect()
+        left = spark.range(64, numPartitions=16).mapInArrow(held, "n long").collect()
+        assert not any(x.n for x in left)
+
+
 def test_bpe_against_the_library(spark, tmp_path):
     from tokenizers import Tokenizer
 

@@ -139,6 +139,14 @@ def test_sieve_loses_no_id(spark, monkeypatch):
     assert not any(x[0] for x in rows.select(common.sieve(ids.where("x < 0"))("id")).collect())
 
 
+def test_sieve_runs_no_python(spark):
+    """A Python function in the filter would give every task that also runs mapInArrow a second Python worker."""
+    docs = spark.createDataFrame([(i, f"word{i} of a text") for i in range(20)], "doc_id long, text string")
+    for left in (docs.where(common.sieve(spark.range(5))("doc_id")), minhash.drop_near_copies(docs)):
+        left.collect()
+        assert "EvalPython" not in left._jdf.queryExecution().toString()
+
+
 def test_texts_are_not_moved_for_what_few_of_them_need(spark, monkeypatch):
     """Copies among many other texts: sets are made, and copies dropped, without a join that moves the other texts."""
     plans, write = {}, minhash.saved
