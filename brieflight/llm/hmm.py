@@ -157,6 +157,17 @@ def lexicon(counts: DataFrame) -> Lexicon:
     return Lexicon([w for _, w in order], [n for n, _ in order], int(whole.tokens or 0), int(whole.words or 0), tokens, words)
 
 
+def pack(codes: np.ndarray) -> bytes:
+    """uint32 numbers as zstd of their lowest bytes, then their second ones, and so on: the upper bytes are mostly zero. Written
+    or shuffled, they take this much and no more, whatever codec Spark has there."""
+    return pa.compress(np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * n, codec="zstd"), dtype=np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+
+
 def _packed(docs: DataFrame, sent, parts: int) -> DataFrame:
     """Blocks of documents: their ids, held_out and sizes, tokens as places in the block's vocabulary (words of the head, by
     number, then the others, by part), and the other words with their parts and counts in training documents."""
@@ -181,7 +192,7 @@ def _packed(docs: DataFrame, sent, parts: int) -> DataFrame:
             sizes = np.array([len(c) for c in codes])
             n = np.bincount(local[np.repeat(~np.array(held, dtype=bool), sizes)], minlength=len(head) + len(of))[len(head) :]
             listed = list(words)
-            row = [next(at), ids, held, sizes.tolist(), local.tobytes(), head.astype(np.int32).tobytes(), [listed[i] for i in order.tolist()], of[order].tolist(), n.tolist()]
+            row = [next(at), ids, held, sizes.tolist(), pack(local), head.astype(np.int32).tobytes(), [listed[i] for i in order.tolist()], of[order].tolist(), n.tolist()]
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["block", "ids", "held", "sizes", "codes", "head", "words", "parts", "n"])
 
@@ -246,8 +257,8 @@ def _numbered(blocks: DataFrame) -> DataFrame:
         number = pc.dictionary_encode(words.flatten()).indices.to_numpy()
         whole = np.bincount(number, n.flatten().to_numpy()).astype(np.int64)[number]
         ends = np.cumsum(sizes)[:-1]
-        pack = lambda x: pa.array([y.tobytes() for y in np.split(x, ends)], pa.binary())
-        return pa.RecordBatch.from_arrays([t.column("block").combine_chunks(), t.column("part").combine_chunks(), pack(number.astype(np.int32)), pack(whole)], ["block", "part", "number", "n"])
+        cells = lambda x: pa.array([y.tobytes() for y in np.split(x, ends)], pa.binary())
+        return pa.RecordBatch.from_arrays([t.column("block").combine_chunks(), t.column("part").combine_chunks(), cells(number.astype(np.int32)), cells(whole)], ["block", "part", "number", "n"])
 
     rows = blocks.select("block", "words", "parts", "n").mapInArrow(cut, "part int, block long, words array<binary>, n array<long>")
     return _by_part(rows, work, "block long, part int, number binary, n binary")
@@ -259,15 +270,18 @@ def _gathered(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def encoded(docs: DataFrame, sent, parts: int) -> DataFrame:
-    """Blocks, with numbers and whole counts of their words outside the head, kept by block so that no round moves them."""
+    """Blocks, with numbers and whole counts of their words outside the head, kept by block so that no round moves them. The
+    numbers are written first, so that the words' shuffle is gone when the blocks are moved."""
     spark = docs.sparkSession
     blocks = saved(_packed(docs, sent, parts), "packed")
-    got = _gathered(_numbered(blocks), "number", "n").withColumnRenamed("found", "tail")
+    numbers = saved(_numbered(blocks), "numbers")
+    free_shuffles(spark)
+    got = _gathered(numbers, "number", "n").withColumnRenamed("found", "tail")
     buckets = max(1, min(tasks_for(spark), blocks.count() // 3))
     out = blocks.withColumn("forms", F.expr(f"transform(words, w -> cast({form_sql('w')} as int))")).drop("words", "n").join(got, "block", "left").repartition(buckets, "block")
     name = "hmm_" + uuid.uuid4().hex
     out.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/brieflight/{name}").bucketBy(buckets, "block").saveAsTable(name)
-    forget(blocks)
+    forget(blocks, numbers)
     return spark.table(name)
 
 
@@ -392,7 +406,7 @@ class Block:
             counts = np.zeros((len(self.n), STATES))
         self.forms = np.array(row["forms"], dtype=np.int64)
         self.emit = np.concatenate([m.head[self.head].astype(kind), m.emission(self.forms, self.n, counts).astype(kind)])
-        self.texts = np.split(np.frombuffer(row["codes"], dtype=np.uint32), np.cumsum(row["sizes"])[:-1])
+        self.texts = np.split(unpack(row["codes"], sum(row["sizes"])), np.cumsum(row["sizes"])[:-1])
 
 
 def _shares(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -414,12 +428,12 @@ def _blocks(batches, m: Trained, kind):
 def _with_counts(blocks: DataFrame, sums: DataFrame | None) -> DataFrame:
     if sums is None:
         return blocks.withColumn("found", F.lit(None).cast("array<struct<part:int,v:binary>>")).select(*Block.columns)
-    return blocks.join(sums, "block", "left").select(*Block.columns)
+    return blocks.join(_gathered(sums, "v"), "block", "left").select(*Block.columns)
 
 
 def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
-    """Expected counts over all training documents: first, move, words of the head, classes of the others, and the counts of
-    the others by block, with the table that they are read from."""
+    """Expected counts over all training documents: first, move, words of the head, classes of the others, and a table of the
+    counts of the others for each block and part. sums, that of the round before, is deleted when it has been read."""
     spark = blocks.sparkSession
     sent = spark.sparkContext.broadcast(model)
     heads = len(model.head)
@@ -489,6 +503,9 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
         return work
 
     out = saved(_with_counts(blocks, sums).mapInArrow(run, "key int, part int, block long, number binary, v binary"), "e-step")
+    if sums is not None:
+        forget(sums)
+        free_shuffles(spark)  # what is summed below takes the place of what was read above
     # every task has a row for a slice, so rows are summed by groups of tasks, then over the groups: no task takes more rows of
     # a slice than the root of the number of tasks
     fan = math.ceil(math.sqrt(tasks_for(spark)))
@@ -497,8 +514,9 @@ def _e_step(blocks: DataFrame, sums: DataFrame | None, model: Trained):
     whole = np.zeros((heads + CLASSES + STATES + 1, STATES))
     for r in _by_part(_by_part(grouped, added(fan, np.float32), schema), added(1, np.float64), schema).collect():
         whole[np.frombuffer(r.number, dtype=np.int32)] = np.frombuffer(r.v).reshape(-1, STATES)
-    sums = _gathered(_by_part(out.where("part is not null").select("part", "block", "number", "v"), work, "block long, part int, v binary"), "v")
-    return whole[-1], whole[heads + CLASSES : -1], whole[:heads], whole[heads : heads + CLASSES], sums, out
+    sums = saved(_by_part(out.where("part is not null").select("part", "block", "number", "v"), work, "block long, part int, v binary"), "e-sums")
+    forget(out)
+    return whole[-1], whole[heads + CLASSES : -1], whole[:heads], whole[heads : heads + CLASSES], sums
 
 
 def _seeded(docs: DataFrame, sent, corpus: np.ndarray) -> Hmm:
@@ -542,16 +560,13 @@ def _seeded(docs: DataFrame, sent, corpus: np.ndarray) -> Hmm:
 
 
 def train(docs: DataFrame, blocks: DataFrame, x: Lexicon, sent, iterations: int = ITERATIONS) -> tuple[Trained, DataFrame | None]:
-    """The model, and the counts of words outside the head by block."""
+    """The model, and the counts of words outside the head by block and part."""
     corpus = x.class_tokens + ALPHA / CLASSES
     corpus = corpus / corpus.sum()
     model = Trained(_seeded(docs, sent, corpus), x, np.zeros((CLASSES, STATES)), np.zeros((len(x.words), STATES)))
-    sums, table = None, None
+    sums = None
     for _ in range(iterations):
-        first, move, head, classes, sums, now = _e_step(blocks, sums, model)
-        if table is not None:
-            forget(table)
-        table = now
+        first, move, head, classes, sums = _e_step(blocks, sums, model)
         for k in range(STATES):
             classes[:, k] += np.bincount(x.classes, head[:, k], minlength=CLASSES)
         model = Trained(Hmm.of_counts(first, move, classes, corpus), x, classes, head)

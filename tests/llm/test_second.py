@@ -297,6 +297,16 @@ def test_forward_and_expected_counts():
     assert np.allclose(first, want_first) and np.allclose(move, want_move) and np.allclose(emit, want_emit)
 
 
+def test_block_codes_are_packed_and_unpacked():
+    """Numbers of all sizes come back, and mostly small ones take less than half of their bytes."""
+    rng = np.random.default_rng(4)
+    for codes in (np.zeros(0), np.array([0, 2**32 - 1, 256, 65536]), np.minimum(rng.zipf(1.3, 100_000), 2**20)):
+        codes = codes.astype(np.uint32)
+        packed = hmm.pack(codes)
+        assert np.array_equal(hmm.unpack(packed, len(codes)), codes)
+    assert len(packed) < 0.5 * codes.nbytes
+
+
 def test_scores_over_documents(spark):
     r = random.Random(6)
     rows = [(i, " ".join(r.choice(["Aa", "bb", "cc"] if i % 2 else ["xx", "yy", "ZZ"]) + r.choice(["", "", "q"]) for _ in range(r.randrange(40)))) for i in range(300)] + [(1000, None), (1001, "never seen"), (None, "aa"), (5, "aa"), (5, "aa")]
